@@ -1,0 +1,115 @@
+"""Run a registered Spark query and its DuckDB oracle side by side and compare.
+
+Usage: python tests/oracle_compare.py [sf_dir] [name ...]
+Compares column names, row count, column type families and the
+order-insensitive multiset of row values (exact, after normalising dates,
+NaN/None and numpy scalars).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+
+
+def duck(sf_dir: str):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if hasattr(v, "item") and not isinstance(v, (str, bytes)):
+        try:
+            v = v.item()
+        except Exception:
+            pass
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return repr(v)
+    if isinstance(v, dt.datetime):
+        return v.date().isoformat() if v.time() == dt.time(0) else v.isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return repr(v) if not isinstance(v, str) else v
+
+
+def _family(dtype: str) -> str:
+    d = str(dtype).lower()
+    if "int" in d:
+        return "int"
+    if "float" in d or "double" in d:
+        return "float"
+    if "date" in d or "time" in d:
+        return "date"
+    if "bool" in d:
+        return "bool"
+    return "other"
+
+
+def compare(spark_df, duck_df) -> tuple[bool, str]:
+    s_cols = sorted(spark_df.columns)
+    d_cols = sorted(duck_df.columns)
+    if s_cols != d_cols:
+        return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    if len(spark_df) != len(duck_df):
+        return False, f"row count spark={len(spark_df)} duck={len(duck_df)}"
+    for c in s_cols:
+        fs, fd = _family(spark_df[c].dtype), _family(duck_df[c].dtype)
+        if fs != fd and not (len(spark_df) == 0) and not ("other" in (fs, fd) and "date" in (fs, fd)):
+            return False, f"type family of {c}: spark={spark_df[c].dtype} duck={duck_df[c].dtype}"
+    srows = sorted((tuple(_norm(v) for v in r) for r in spark_df[s_cols].itertuples(index=False)), key=repr)
+    drows = sorted((tuple(_norm(v) for v in r) for r in duck_df[s_cols].itertuples(index=False)), key=repr)
+    if srows != drows:
+        diff = [(a, b) for a, b in zip(srows, drows) if a != b][:3]
+        return False, f"values differ, e.g. {diff}"
+    return True, f"{len(srows)} rows"
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:]
+    from salesnet.session import get_session
+    import __spark_entry__ as E
+
+    spark = get_session("local[8]", shuffle_partitions=8)
+    qs, oq = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    ok_all = True
+    for name, fn in qs.items():
+        if names and name not in names:
+            continue
+        t0 = time.time()
+        sdf = fn(spark, sf_dir).toPandas()
+        t1 = time.time()
+        if name not in oq:
+            print(f"{name:34s} NO-ORACLE rows={len(sdf)} spark={t1 - t0:.2f}s")
+            continue
+        try:
+            ddf = con.execute(oq[name]).df()
+        except Exception as e:  # noqa: BLE001
+            print(f"{name:34s} ORACLE-ERROR {e}")
+            ok_all = False
+            continue
+        ok, msg = compare(sdf, ddf)
+        ok_all &= ok
+        print(f"{name:34s} {'OK ' if ok else 'BAD'} {msg} spark={t1 - t0:.2f}s")
+    return 0 if ok_all else 1
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
