@@ -32,6 +32,16 @@ def money(c: Column, digits: int = 2) -> Column:
     return dec_round(c, digits).cast("double")
 
 
+def to_cents(c: Column) -> Column:
+    """DECIMAL(p,2) money -> exact BIGINT cents."""
+    return (c * 100).cast("long")
+
+
+def from_cents(c: Column) -> Column:
+    """BIGINT cents -> exact DECIMAL(21,2)."""
+    return c.cast("decimal(19,0)") * DEC("0.01")
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """``num / NULLIF(den, 0)``: NULL instead of a divide-by-zero error."""
     return num / F.nullif(den, F.lit(0))

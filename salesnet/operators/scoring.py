@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesnet.functions.scalar import DEC, dec_round, safe_div
@@ -15,16 +15,17 @@ def minmax_score(df: DataFrame, specs: Mapping[str, tuple[str, bool]], scale: in
 
     score = ROUND((x - min) * scale / NULLIF(max - min, 0), 2), or (max - x)
     when inverted; min and max are over all rows of ``df``.  A constant column
-    has no spread and scores NULL.  The bounds are one-row scalar subqueries (the
-    optimizer merges them into a single aggregate over ``df``), so no cross join
-    and no gathering of rows into one task.
+    has no spread and scores NULL.
+
+    ``df`` holds one row per entity of a dimension (e.g. distributors), so the
+    bounds are unpartitioned MIN/MAX windows over those rows: one pass over an
+    already-aggregated table, with no cross join and no second run of the plan
+    that produced ``df`` (a scalar subquery would recompute it).
     """
     out = df
-    bounds = {}
-    for name, (src, _) in specs.items():
-        bounds[name] = (df.agg(F.min(src)).scalar(), df.agg(F.max(src)).scalar())
+    everything = Window.partitionBy()
     for name, (src, invert) in specs.items():
-        lo, hi = bounds[name]
+        lo, hi = F.min(src).over(everything), F.max(src).over(everything)
         num = (hi - F.col(src)) if invert else (F.col(src) - lo)
         out = out.withColumn(name, dec_round(safe_div(num * DEC(f"{scale}.0"), hi - lo)))
     return out

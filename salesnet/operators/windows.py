@@ -1,10 +1,12 @@
 """Ordered and grouped analytics over already aggregated rows.
 
-Every window here is partitioned by an entity key (distributor, product,
-category, zone) and runs on rows that were aggregated to entity x month first,
-so a window partition holds at most one row per month of the entity.  The only
-unpartitioned windows are on series with one row per month of the period
-(``lag_change`` with no keys), whose size is bounded by the period length.
+Every window here runs on rows that were aggregated first (entity x month,
+entity, channel, month), never on line-level rows.  Partitioned windows hold at
+most one row per month of an entity.  Unpartitioned windows (grand totals,
+global LAG, min-max bounds) are only applied to rows with one row per value of
+a bounded domain: a month of the window, a channel, a distributor.  Their size
+does not grow with the number of orders or lines, and they cost one pass, where
+a scalar subquery would re-run the whole line-level plan that feeds them.
 """
 
 from __future__ import annotations
@@ -24,13 +26,10 @@ def _w(keys: Sequence[str], order: str):
 def share_of_total(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "share_pct") -> DataFrame:
     """``value * 100 / SUM(value) over the group`` (grand total when ``by`` is empty).
 
-    The grand total is a one-row scalar subquery rather than an unpartitioned
-    window, so no step gathers the rows of ``df`` into one task.
+    ``df`` must already be aggregated to one row per member of a bounded
+    domain (channels, SKUs of a category); see the module note.
     """
-    if by:
-        total = F.sum(value).over(Window.partitionBy(*by))
-    else:
-        total = df.agg(F.sum(value)).scalar()
+    total = F.sum(value).over(Window.partitionBy(*by))
     return df.withColumn(out, safe_pct(F.col(value), total))
 
 

@@ -3,7 +3,9 @@
 Each job is a thin composition of ``salesnet.operators``.  The common shape
 (see ``operators.fact``): lines of the window joined to their orders,
 aggregated at retailer / product grain (partial aggregation before every
-shuffle), then dimensions joined to the aggregated rows and rolled up.  Output
+shuffle), then dimensions joined to the aggregated rows and rolled up.  The
+line-level sums run on exact BIGINT cents (``net_cents``...) and are turned
+into DECIMAL right after that first aggregate.  Output
 money and ratios are rounded half-up to 2 dp through DECIMAL(38,6) and given as
 DOUBLE; sorts happen once, at the output.
 """
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesnet.functions.scalar import DEC, dec_round, money, safe_pct
+from salesnet.functions.scalar import DEC, dec_round, from_cents, money, safe_pct
 from salesnet.operators import (
     cohort_retention, consecutive, decline_flags, geography, group_mean, lag_change, latest_value,
     minmax_score, order_lines, orders_in, pairwise_corr, rank_within, rolling_mean,
@@ -31,9 +33,10 @@ def retailer_totals(star: Star, period: Period, month: bool = False) -> DataFram
     keys = ["retailer_id"] + (["sales_month"] if month else [])
     return (order_lines(star, period, month=month)
             .groupBy(*keys)
-            .agg(F.sum("net_sales_value").alias("revenue"),
+            .agg(F.sum("net_cents").alias("net_cents"),
                  F.count(F.lit(1)).alias("lines"),
-                 F.count_if(F.col("is_promoted")).alias("promoted_lines")))
+                 F.count_if(F.col("is_promoted")).alias("promoted_lines"))
+            .withColumn("revenue", from_cents(F.col("net_cents"))).drop("net_cents"))
 
 
 def distributor_monthly(star: Star, period: Period, zone: bool = True) -> DataFrame:
@@ -55,7 +58,8 @@ def distributor_totals(star: Star, period: Period) -> DataFrame:
 def product_totals(star: Star, period: Period, month: bool = False) -> DataFrame:
     keys = ["product_id"] + (["sales_month"] if month else [])
     return (order_lines(star, period, month=month).groupBy(*keys)
-            .agg(F.sum("net_sales_value").alias("revenue"), F.sum("quantity_units").alias("units")))
+            .agg(F.sum("net_cents").alias("net_cents"), F.sum("quantity_units").alias("units"))
+            .withColumn("revenue", from_cents(F.col("net_cents"))).drop("net_cents"))
 
 
 # ---------------------------------------------------------------- J01 .. J05
@@ -120,7 +124,7 @@ def weighted_margin_by_category(star: Star, period: Period = DEFAULT_PERIOD) ->
 def monthly_revenue_series(star: Star, period: Period) -> DataFrame:
     """Unrounded revenue per calendar month of the window (months without sales absent)."""
     return (order_lines(star, period, month=True)
-            .groupBy("sales_month").agg(F.sum("net_sales_value").alias("revenue")))
+            .groupBy("sales_month").agg(from_cents(F.sum("net_cents")).alias("revenue")))
 
 
 def monthly_revenue(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
@@ -168,9 +172,9 @@ def promotion_totals(star: Star, period: Period) -> DataFrame:
     lines = order_lines(star, period, promotion_id=True).filter(F.col("promotion_id").isNotNull())
     per = lines.groupBy("promotion_id").agg(
         F.count(F.lit(1)).alias("items_sold"),
-        F.sum("gross_sales_value").alias("gross"),
-        F.sum("discount_value").alias("disc"),
-        F.sum("net_sales_value").alias("net"))
+        from_cents(F.sum("gross_cents")).alias("gross"),
+        from_cents(F.sum("discount_cents")).alias("disc"),
+        from_cents(F.sum("net_cents")).alias("net"))
     return per.join(star.promotions.select("promotion_id", "promotion_name", "category", "discount_percent"),
                     "promotion_id")
 

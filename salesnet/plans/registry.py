@@ -12,9 +12,20 @@ from salesnet.sources.tpch import tpch_star
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_STARS: dict = {}
+
+
+def star_for(spark: SparkSession, sf_dir: str):
+    """The (lazy) star mapping of ``sf_dir``, shared by queries of one session."""
+    key = (id(spark), id(spark.sparkContext), sf_dir)
+    if key not in _STARS:
+        _STARS[key] = tpch_star(spark, sf_dir)
+    return _STARS[key]
+
+
 def _on_star(fn, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(tpch_star(spark, sf_dir), **kw)
+        return fn(star_for(spark, sf_dir), **kw)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run

@@ -2,42 +2,64 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesnet import schemas
+from salesnet.functions.scalar import to_cents
 
 
-@dataclass
-class Star:
-    """The seven star tables.
+TABLE_NAMES = ("zones", "distributors", "retailers", "products", "promotions",
+               "sales_orders", "sales_order_items")
+
 
-    ``lean_items`` is an optional cheaper view of the line table without
-    ``promotion_id`` but with the boolean ``is_promoted``; sources whose
-    promotion id needs a join (the TPC-H mapping) provide it so jobs that only
-    ask "was this line promoted?" skip that join.
+class Star:
+    """The seven star tables, each a DataFrame built on first access.
+
+    Tables are given as DataFrames or as zero-argument factories; a factory
+    runs once, when a job first touches the table, so a job pays only for the
+    plans of the tables it reads.  ``lean_items`` is an optional cheaper view
+    of the line table without ``promotion_id`` but with ``is_promoted`` and the
+    cents columns; sources whose promotion id needs a join (the TPC-H mapping)
+    provide it so jobs that only ask "was this line promoted?" skip that join.
     """
 
-    zones: DataFrame
-    distributors: DataFrame
-    retailers: DataFrame
-    products: DataFrame
-    promotions: DataFrame
-    sales_orders: DataFrame
-    sales_order_items: DataFrame
-    lean_items: Optional[DataFrame] = None
+    def __init__(self, lean_items=None, **tables):
+        missing = set(TABLE_NAMES) - set(tables)
+        if missing:
+            raise ValueError(f"missing star tables: {sorted(missing)}")
+        self._src = dict(tables, lean_items=lean_items)
+        self._built: dict[str, DataFrame] = {}
+
+    def _get(self, name: str) -> Optional[DataFrame]:
+        if name not in self._built:
+            src = self._src[name]
+            self._built[name] = src() if callable(src) else src
+        return self._built[name]
+
+    def __getattr__(self, name: str):
+        if name.startswith("_") or name not in self._src:
+            raise AttributeError(name)
+        return self._get(name)
 
     def items(self, promotion_id: bool = False) -> DataFrame:
-        """Line table with ``is_promoted``; ``promotion_id`` too when asked for."""
-        if promotion_id or self.lean_items is None:
-            return self.sales_order_items.withColumn("is_promoted", F.col("promotion_id").isNotNull())
-        return self.lean_items
+        """Line table with ``is_promoted`` and exact BIGINT ``*_cents`` money columns
+        (``gross_cents``, ``discount_cents``, ``net_cents``) for the aggregation
+        hot path; ``promotion_id`` too when asked for."""
+        lean = self._get("lean_items")
+        if promotion_id or lean is None:
+            df = self.sales_order_items
+            return df.select(
+                "*", F.col("promotion_id").isNotNull().alias("is_promoted"),
+                to_cents(F.col("gross_sales_value")).alias("gross_cents"),
+                to_cents(F.col("discount_value")).alias("discount_cents"),
+                to_cents(F.col("net_sales_value")).alias("net_cents"))
+        return lean
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "lean_items"}
+        return {name: self._get(name) for name in TABLE_NAMES}
 
 
 def load_star(spark: SparkSession, path: str) -> Star:

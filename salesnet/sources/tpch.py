@@ -7,7 +7,8 @@
                                       sku_name = "<p_type>/<p_brand>", a product line)
     promotions        <- part types x promotion discount tiers (category-scoped)
     sales_orders      <- orders      (order_date = o_orderdate as DATE)
-    sales_order_items <- lineitem    (gross = l_extendedprice, discount = gross x l_discount,
+    sales_order_items <- lineitem    (gross = l_extendedprice, discount = gross x l_discount
+                                      rounded half up to the cent, net = gross - discount,
                                       promoted when l_discount >= 8%)
 
 Every table is a projection of one scan, so Catalyst prunes columns and pushes
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesnet import schemas
-from salesnet.functions.scalar import DEC
+from salesnet.functions.scalar import DEC, from_cents
 from salesnet.sources.star import Star
 
 # ---- Fixed values of the mapping --------------------------------------------
@@ -44,7 +45,21 @@ TIER_RULE = {0: "A", 1: "B", 2: "B", 3: "C", 4: "C"}
 PROMOTION_TIERS = [8, 9, 10]
 # -----------------------------------------------------------------------------
 
-TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
+# Declared input schemas: reading with a schema skips the footer-sampling
+# schema-inference job per table (one Spark job each, and a full listing of
+# footers on a large table).
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+TABLES = list(SOURCE_SCHEMAS)
 
 
 def _case(col: Column, mapping) -> Column:
@@ -66,110 +81,117 @@ def tier_of(nationkey: Column) -> Column:
     return _case(nationkey % 5, sorted(TIER_RULE.items()))
 
 
-def discount_fraction(l_discount: Column) -> Column:
-    """Line discount as DECIMAL(4,2), cast before any comparison."""
-    return l_discount.cast("decimal(4,2)")
-
-
-def discount_pct(l_discount: Column) -> Column:
-    """Whole-percent discount (0..10)."""
-    return (discount_fraction(l_discount) * 100).cast("int")
-
-
 def promotion_id(category: Column, pct: Column) -> Column:
     """Category-scoped promotion id: category code x 100 + percent (e.g. 108)."""
     return (category_code(category) * 100 + pct).cast("long")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tpch_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Build the star tables as lazy projections over ``<sf_dir>/<table>.parquet``."""
-    region = _read(spark, sf_dir, "region")
-    nation = _read(spark, sf_dir, "nation")
-    customer = _read(spark, sf_dir, "customer")
-    part = _read(spark, sf_dir, "part")
-    orders = _read(spark, sf_dir, "orders")
-    lineitem = _read(spark, sf_dir, "lineitem")
-
-    zones = region.select(F.col("r_regionkey").cast("long").alias("zone_id"), F.col("r_name").alias("zone_name"))
-
-    distributors = nation.select(
-        F.col("n_nationkey").cast("long").alias("distributor_id"),
-        F.col("n_name").alias("distributor_name"),
-        F.col("n_regionkey").cast("long").alias("zone_id"),
-        tier_of(F.col("n_nationkey")).alias("tier"),
-        F.col("n_name").alias("city"),
-        F.lit(True).alias("active_status"),
-    )
-
-    retailers = customer.select(
-        F.col("c_custkey").alias("retailer_id"),
-        F.col("c_name").alias("retailer_name"),
-        F.col("c_nationkey").cast("long").alias("distributor_id"),
-        F.concat(F.lit("CITY_"), F.col("c_nationkey").cast("string")).alias("city"),
-        F.col("c_mktsegment").alias("channel_type"),
-        F.lit(True).alias("active_status"),
-    )
-
-    trade = F.col("p_retailprice").cast(schemas.MONEY_PRICE)
-    products = part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.concat_ws("/", F.col("p_type"), F.col("p_brand")).alias("sku_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-        F.round(trade / DEC(TRADE_TO_MRP), 2).cast(schemas.MONEY_PRICE).alias("mrp"),
-        trade.alias("trade_price"),
-        F.round(trade * cost_ratio(F.col("p_type")), 2).cast(schemas.MONEY_PRICE).alias("cost_price"),
-    )
-
-    sales_orders = orders.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("retailer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-    )
-
-    # Campaigns: one per (category, tier), valid over the whole order history.
-    # The category list comes from the part table (a tiny distinct aggregate),
-    # the dates from one-row scalar subqueries over the order dates.
-    first_day = sales_orders.agg(F.min("order_date")).scalar()
-    last_day = sales_orders.agg(F.max("order_date")).scalar()
-    pct = F.explode(F.array(*[F.lit(p) for p in PROMOTION_TIERS]))
-    promotions = (
-        part.select(F.col("p_type").alias("category")).distinct()
-        .select("category", pct.alias("pct"))
-        .select(
+    """Build the star tables as lazy projections over ``<sf_dir>/<table>.parquet``.
+
+    Each table is a factory run on first access, so a job plans only what it reads.
+    """
+    src = {name: _read(spark, sf_dir, name) for name in TABLES}
+    region, nation, customer = src["region"], src["nation"], src["customer"]
+    part, orders, lineitem = src["part"], src["orders"], src["lineitem"]
+
+    def zones():
+        return region.select(F.col("r_regionkey").cast("long").alias("zone_id"),
+                             F.col("r_name").alias("zone_name"))
+
+    def distributors():
+        return nation.select(
+            F.col("n_nationkey").cast("long").alias("distributor_id"),
+            F.col("n_name").alias("distributor_name"),
+            F.col("n_regionkey").cast("long").alias("zone_id"),
+            tier_of(F.col("n_nationkey")).alias("tier"),
+            F.col("n_name").alias("city"),
+            F.lit(True).alias("active_status"))
+
+    def retailers():
+        return customer.select(
+            F.col("c_custkey").alias("retailer_id"),
+            F.col("c_name").alias("retailer_name"),
+            F.col("c_nationkey").cast("long").alias("distributor_id"),
+            F.concat(F.lit("CITY_"), F.col("c_nationkey").cast("string")).alias("city"),
+            F.col("c_mktsegment").alias("channel_type"),
+            F.lit(True).alias("active_status"))
+
+    def products():
+        trade = F.col("p_retailprice").cast(schemas.MONEY_PRICE)
+        return part.select(
+            F.col("p_partkey").alias("product_id"),
+            F.concat_ws("/", F.col("p_type"), F.col("p_brand")).alias("sku_name"),
+            F.col("p_type").alias("category"),
+            F.col("p_brand").alias("brand"),
+            F.round(trade / DEC(TRADE_TO_MRP), 2).cast(schemas.MONEY_PRICE).alias("mrp"),
+            trade.alias("trade_price"),
+            F.round(trade * cost_ratio(F.col("p_type")), 2).cast(schemas.MONEY_PRICE).alias("cost_price"))
+
+    def sales_orders():
+        return orders.select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("retailer_id"),
+            F.col("o_orderdate").cast("date").alias("order_date"))
+
+    def promotions():
+        # One campaign per (category, tier), valid over the whole order history:
+        # categories from a tiny distinct aggregate of the part table, dates from
+        # one-row scalar subqueries over the order dates (pruned when unused).
+        first_day = star.sales_orders.agg(F.min("order_date")).scalar()
+        last_day = star.sales_orders.agg(F.max("order_date")).scalar()
+        tiers = F.explode(F.array(*[F.lit(p) for p in PROMOTION_TIERS]))
+        cats = part.select(F.col("p_type").alias("category")).distinct()
+        return cats.select("category", tiers.alias("pct")).select(
             promotion_id(F.col("category"), F.col("pct")).alias("promotion_id"),
-            F.concat(F.col("category"), F.lit(" "), F.col("pct").cast("string"), F.lit("% offer")).alias("promotion_name"),
+            F.concat(F.col("category"), F.lit(" "), F.col("pct").cast("string"),
+                     F.lit("% offer")).alias("promotion_name"),
             F.col("category"),
             F.col("pct").cast(schemas.PERCENT).alias("discount_percent"),
             first_day.alias("start_date"),
-            last_day.alias("end_date"),
-        )
-    )
-
-    gross = F.col("l_extendedprice").cast(schemas.MONEY_LINE)
-    disc = F.round(gross * discount_fraction(F.col("l_discount")), 2).cast(schemas.MONEY_LINE)
-    promoted = discount_fraction(F.col("l_discount")) >= DEC("0.08")
-    line_cols = [
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity_units"),
-        gross.alias("gross_sales_value"),
-        disc.alias("discount_value"),
-        (gross - disc).cast(schemas.MONEY_LINE).alias("net_sales_value"),
-    ]
-    lean_items = lineitem.select(*line_cols, promoted.alias("is_promoted"))
-    sales_order_items = (
-        lineitem.join(part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"), "left")
-        .select(*line_cols[:3],
-                F.when(promoted, promotion_id(F.col("p_type"), discount_pct(F.col("l_discount")))).alias("promotion_id"),
-                *line_cols[3:])
-    )
-
-    return Star(zones=zones, distributors=distributors, retailers=retailers, products=products,
+            last_day.alias("end_date"))
+
+    # Line money in exact integer cents (prices are on the cent grid): the
+    # aggregation hot path sums BIGINTs instead of wide DECIMALs; the declared
+    # DECIMAL(12,2) columns are derived from the cents and only computed when a
+    # job selects them.  discount = gross x pct / 100 rounded half up.
+    gross_c = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+    pct_c = "CAST(round(l_discount * 100) AS INT)"
+    promoted = F.col("discount_pct") >= F.lit(PROMOTION_TIERS[0])
+
+    def base():
+        return lineitem.select(
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("order_item_id"),
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_quantity").cast("int").alias("quantity_units"),
+            F.expr(gross_c).alias("gross_cents"),
+            F.expr(f"({gross_c} * {pct_c} + 50) div 100").alias("discount_cents"),
+            F.expr(pct_c).alias("discount_pct"),
+        ).withColumn("net_cents", F.col("gross_cents") - F.col("discount_cents"))
+
+    def decimals():
+        return [from_cents(F.col(c)).cast(schemas.MONEY_LINE).alias(n) for c, n in
+                (("gross_cents", "gross_sales_value"), ("discount_cents", "discount_value"),
+                 ("net_cents", "net_sales_value"))]
+
+    def lean_items():
+        return base().select("order_item_id", "order_id", "product_id", "quantity_units",
+                             "gross_cents", "discount_cents", "net_cents",
+                             promoted.alias("is_promoted"), *decimals())
+
+    def sales_order_items():
+        typed = base().join(part.select("p_partkey", "p_type"), F.col("product_id") == F.col("p_partkey"), "left")
+        return typed.select(
+            "order_item_id", "order_id", "product_id",
+            F.when(promoted, promotion_id(F.col("p_type"), F.col("discount_pct"))).alias("promotion_id"),
+            "quantity_units", *decimals())
+
+    star = Star(zones=zones, distributors=distributors, retailers=retailers, products=products,
                 promotions=promotions, sales_orders=sales_orders, sales_order_items=sales_order_items,
                 lean_items=lean_items)
+    return star
