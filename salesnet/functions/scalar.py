@@ -68,13 +68,13 @@ def month_label(c: Column) -> Column:
 
 
 def lakh_label(c: Column) -> Column:
-    """Amount in lakh (1 L = 100,000) with one decimal and an ``L`` suffix."""
-    return F.format_string("%.1fL", c.cast("double") / F.lit(100000.0))
+    """Amount in lakh (1 L = 100,000) with one decimal and an ``L`` suffix (NULL stays NULL)."""
+    return F.when(c.isNotNull(), F.format_string("%.1fL", c.cast("double") / F.lit(100000.0)))
 
 
 def signed_pct_label(c: Column) -> Column:
-    """Signed one-decimal percentage, e.g. ``+18.3%`` / ``-19.2%``."""
-    return F.format_string("%+.1f%%", c.cast("double"))
+    """Signed one-decimal percentage, e.g. ``+18.3%`` / ``-19.2%`` (NULL stays NULL)."""
+    return F.when(c.isNotNull(), F.format_string("%+.1f%%", c.cast("double")))
 
 
 def growth_class(c: Column) -> Column:

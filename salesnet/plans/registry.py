@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesnet.plans import jobs
-from salesnet.sources.tpch import tpch_star
+from salesnet.plans import jobs, reports, tables
+from salesnet.sources.tpch import TPCH_DOMAINS, cost_ratio, tpch_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,5 +61,27 @@ def analytic_queries() -> dict[str, Query]:
     }
 
 
+def _repriced(star):
+    """R5 with the mapping's category cost ratios."""
+    return tables.repriced_products(star, cost_ratio(F.col("category")))
+
+
+def table_queries() -> dict[str, Query]:
+    return {
+        "check_constraints": _on_star(tables.check_constraints, domains=TPCH_DOMAINS),
+        "row_counts": _on_star(tables.row_counts),
+        "promotion_coverage": _on_star(tables.promotion_coverage),
+        "orders_to_append": _on_star(tables.orders_to_append, loaded_until=dt.date(1998, 7, 1)),
+        "order_sequence": _on_star(tables.order_sequence),
+        "repriced_products": _on_star(_repriced),
+        "promotion_attach_summary": _on_star(tables.promotion_attach_summary),
+        "list_price_financials": _on_star(tables.list_price_financials),
+        "distributor_targets": _on_star(tables.distributor_targets),
+        "monthly_revenue_report": _on_star(reports.monthly_revenue_report),
+        "mom_growth_report": _on_star(reports.mom_growth_report),
+        "promotion_report": _on_star(reports.promotion_report),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return analytic_queries()
+    return {**analytic_queries(), **table_queries()}

@@ -43,6 +43,8 @@ TRADE_TO_MRP = "0.80"
 TIER_RULE = {0: "A", 1: "B", 2: "B", 3: "C", 4: "C"}
 # A line is on promotion when its discount is one of these percentages.
 PROMOTION_TIERS = [8, 9, 10]
+# Market segments of the customer table (the mapping's channel domain).
+MARKET_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 # -----------------------------------------------------------------------------
 
 # Declared input schemas: reading with a schema skips the footer-sampling
@@ -61,6 +63,13 @@ SOURCE_SCHEMAS = {
 }
 TABLES = list(SOURCE_SCHEMAS)
 
+# Value domains of the mapped star, for constraint validation.
+TPCH_DOMAINS = {
+    "tier": sorted(set(TIER_RULE.values())),
+    "channel_type": MARKET_SEGMENTS,
+    "category": [k for k, _ in CATEGORY_COST_RATIO],
+}
+
 
 def _case(col: Column, mapping) -> Column:
     expr = None
