@@ -333,17 +333,13 @@ RISK_TIERS = [("Critical", "6.0"), ("Watch", "3.0")]
 RISK_DEFAULT_TIER = "Stable"
 
 
-def revenue_at_risk(star: Star, period: Period = DEFAULT_PERIOD, n: int = 10,
-                    weights: dict | None = None, tiers: list | None = None) -> DataFrame:
-    """Composite 0-10 risk score per distributor from three min-max scaled signals.
+def risk_signals(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
+    """The three J19 signals per distributor (rounded as in the question).
 
-    Signals: months that continue a decline (this and previous monthly row
-    down), % below the zone's mean revenue (0 when above), promoted-line share
-    (inverted: low participation is risk).  If a signal is constant its score,
-    the composite and so the sort key are NULL; NULLs sort first.
+    consecutive_decline_months: monthly rows that continue a decline (this and
+    the previous row down); pct_below_zone_avg: % below the mean of the zone's
+    unrounded totals, 0 when above; promo_participation_rate: promoted-line share.
     """
-    weights = weights or RISK_WEIGHTS
-    tiers = tiers or RISK_TIERS
     flagged = decline_flags(distributor_monthly(star, period), ["distributor_id"], "sales_month", "monthly_revenue")
     totals = flagged.groupBy("distributor_id", "distributor_name", "zone_name").agg(
         F.sum("monthly_revenue").alias("total"),
@@ -352,29 +348,43 @@ def revenue_at_risk(star: Star, period: Period = DEFAULT_PERIOD, n: int = 10,
         F.count_if(consecutive()).alias("consecutive_decline_months"))
     totals = group_mean(totals, "total", ["zone_name"], "zone_mean")
     gap = F.greatest(DEC("0"), F.col("zone_mean") - F.col("total"))
-    signals = totals.select(
+    return totals.select(
         "distributor_id", "distributor_name", "zone_name", "total", "consecutive_decline_months",
         dec_round(safe_pct(gap, F.col("zone_mean"))).alias("pct_below_zone_avg"),
         dec_round(safe_pct(F.col("promoted"), F.col("lines"))).alias("promo_participation_rate"))
+
+
+def score_risk(signals: DataFrame, weights: dict | None = None, tiers: list | None = None) -> DataFrame:
+    """Min-max scale the signals to 0-10 (low promotion share inverted), weight them
+    into ``composite`` (unrounded, used for the tier) and ``composite_risk_score``
+    (rounded), and label the tier."""
     scored = minmax_score(signals, {
         "decline_score": ("consecutive_decline_months", False),
         "gap_score": ("pct_below_zone_avg", False),
         "low_promo_score": ("promo_participation_rate", True),
     })
-    composite = weighted_sum(weights)
     return (scored
-            .withColumn("composite", composite)
+            .withColumn("composite", weighted_sum(weights or RISK_WEIGHTS))
             .withColumn("composite_risk_score", money(F.col("composite")))
-            .withColumn("risk_tier", tier_label(F.col("composite"), tiers, RISK_DEFAULT_TIER))
+            .withColumn("risk_tier", tier_label(F.col("composite"), tiers or RISK_TIERS, RISK_DEFAULT_TIER)))
+
+
+def revenue_at_risk(star: Star, period: Period = DEFAULT_PERIOD, n: int = 10,
+                    weights: dict | None = None, tiers: list | None = None) -> DataFrame:
+    """Top ``n`` distributors by a composite 0-10 risk score from three signals.
+
+    If a signal is constant over all distributors its score, the composite and
+    so the sort key are NULL; NULLs sort first (distributor name breaks ties).
+    """
+    scored = score_risk(risk_signals(star, period), weights, tiers)
+    return (scored
             .orderBy(F.col("composite_risk_score").desc_nulls_first(), F.asc("distributor_name"))
             .limit(n)
             .select("distributor_name", "zone_name", money(F.col("total")).alias("total_revenue"),
                     "consecutive_decline_months",
-                    F.col("pct_below_zone_avg").cast("double").alias("pct_below_zone_avg"),
-                    F.col("promo_participation_rate").cast("double").alias("promo_participation_rate"),
-                    F.col("decline_score").cast("double").alias("decline_score"),
-                    F.col("gap_score").cast("double").alias("gap_score"),
-                    F.col("low_promo_score").cast("double").alias("low_promo_score"),
+                    *[F.col(c).cast("double").alias(c) for c in
+                      ("pct_below_zone_avg", "promo_participation_rate", "decline_score", "gap_score",
+                       "low_promo_score")],
                     "composite_risk_score", "risk_tier"))
 
 
