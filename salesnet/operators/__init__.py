@@ -1,5 +1,5 @@
 from salesnet.operators.filters import in_period
-from salesnet.operators.fact import orders_in, order_lines, geography, with_geography, with_products
+from salesnet.operators.fact import orders_in, order_lines, order_totals, geography, with_geography, with_products
 from salesnet.operators.windows import (
     share_of_total, group_mean, lag_change, decline_flags, consecutive, rolling_mean,
     top_n_per_group, rank_within, latest_value,
@@ -10,7 +10,7 @@ from salesnet.operators.pairs import pairwise_corr, pearson
 from salesnet.operators.ranges import resolve_overlaps, range_attach
 
 __all__ = [
-    "in_period", "orders_in", "order_lines", "geography", "with_geography", "with_products",
+    "in_period", "orders_in", "order_lines", "order_totals", "geography", "with_geography", "with_products",
     "share_of_total", "group_mean", "lag_change", "decline_flags", "consecutive", "rolling_mean",
     "top_n_per_group", "rank_within", "latest_value", "without_activity", "cohort_retention",
     "minmax_score", "weighted_sum", "tier_label", "pairwise_corr", "pearson",

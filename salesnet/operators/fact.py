@@ -42,9 +42,41 @@ def orders_in(star: Star, period: Period | None, month: bool = False) -> DataFra
 
 
 def order_lines(star: Star, period: Period | None = None, month: bool = False,
-                promotion_id: bool = False) -> DataFrame:
-    """Lines of the orders in ``period`` with order date, retailer and (optionally) month."""
-    return star.items(promotion_id).join(orders_in(star, period, month), "order_id")
+                promotion_id: bool = False, promoted_only: bool = False) -> DataFrame:
+    """Lines of the orders in ``period`` with order date, retailer and (optionally) month.
+
+    ``promoted_only`` keeps promoted lines (a filter on line columns, pushed
+    below the joins); ``promotion_id`` adds the id, after the order join when
+    the source attaches it late.
+    """
+    late = promotion_id and star.promotion_ids is not None
+    lines = star.items(promotion_id and not late)
+    if promoted_only:
+        lines = lines.filter(F.col("is_promoted"))
+    out = lines.join(orders_in(star, period, month), "order_id")
+    return star.promotion_ids(out) if late else out
+
+
+ORDER_MEASURES = {
+    "net_cents": lambda: F.sum("net_cents"),
+    "lines": lambda: F.count(F.lit(1)),
+    "promoted_lines": lambda: F.count_if(F.col("is_promoted")),
+}
+
+
+def order_totals(star: Star, period: Period | None = None, month: bool = False,
+                 measures=("net_cents",)) -> DataFrame:
+    """Per-order line totals joined to the orders of ``period``.
+
+    Eager aggregation: the lines are reduced to one row per order *before*
+    the order join.  Lines of an order are stored together, so the partial
+    aggregate collapses them inside each scan task and the shuffle on the order
+    key (the biggest one of every retailer-grain job) carries about one row per
+    order instead of one per line; the final aggregate's partitioning is the
+    one the join needs, so it adds no exchange.
+    """
+    per_order = star.items().groupBy("order_id").agg(*[ORDER_MEASURES[m]().alias(m) for m in measures])
+    return per_order.join(orders_in(star, period, month), "order_id")
 
 
 def geography(star: Star, cols: Iterable[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from salesnet.functions.scalar import DEC, dec_round, from_cents, money, safe_pct
 from salesnet.operators import (
     cohort_retention, consecutive, decline_flags, geography, group_mean, lag_change, latest_value,
-    minmax_score, order_lines, orders_in, pairwise_corr, rank_within, rolling_mean,
+    minmax_score, order_lines, order_totals, orders_in, pairwise_corr, rank_within, rolling_mean,
     share_of_total, tier_label, top_n_per_group, weighted_sum, with_geography, with_products,
     without_activity,
 )
@@ -28,25 +28,25 @@ from salesnet.sources.star import Star
 
 # ---------------------------------------------------------------- shared rollups
 
-def retailer_totals(star: Star, period: Period, month: bool = False) -> DataFrame:
-    """Revenue, line count and promoted line count per retailer (and month)."""
+def retailer_totals(star: Star, period: Period, month: bool = False, counts: bool = False) -> DataFrame:
+    """Revenue (and with ``counts`` line and promoted-line counts) per retailer (and month),
+    rolled up from per-order totals."""
     keys = ["retailer_id"] + (["sales_month"] if month else [])
-    return (order_lines(star, period, month=month)
+    measures = ("net_cents", "lines", "promoted_lines") if counts else ("net_cents",)
+    return (order_totals(star, period, month=month, measures=measures)
             .groupBy(*keys)
-            .agg(F.sum("net_cents").alias("net_cents"),
-                 F.count(F.lit(1)).alias("lines"),
-                 F.count_if(F.col("is_promoted")).alias("promoted_lines"))
+            .agg(*[F.sum(m).alias(m) for m in measures])
             .withColumn("revenue", from_cents(F.col("net_cents"))).drop("net_cents"))
 
 
-def distributor_monthly(star: Star, period: Period, zone: bool = True) -> DataFrame:
-    """Monthly revenue / lines / promoted lines per distributor (the J13-J15, J18, J19 base)."""
+def distributor_monthly(star: Star, period: Period, zone: bool = True, counts: bool = False) -> DataFrame:
+    """Monthly revenue (and line / promoted-line counts) per distributor (the J13-J15, J18, J19 base)."""
     geo = ["distributor_id", "distributor_name"] + (["zone_name"] if zone else [])
-    return (with_geography(retailer_totals(star, period, month=True), star, geo)
-            .groupBy(*geo, "sales_month")
-            .agg(F.sum("revenue").alias("monthly_revenue"),
-                 F.sum("lines").alias("lines"),
-                 F.sum("promoted_lines").alias("promoted_lines")))
+    sums = [F.sum("revenue").alias("monthly_revenue")]
+    if counts:
+        sums += [F.sum("lines").alias("lines"), F.sum("promoted_lines").alias("promoted_lines")]
+    return (with_geography(retailer_totals(star, period, month=True, counts=counts), star, geo)
+            .groupBy(*geo, "sales_month").agg(*sums))
 
 
 def distributor_totals(star: Star, period: Period) -> DataFrame:
@@ -123,7 +123,7 @@ def weighted_margin_by_category(star: Star, period: Period = DEFAULT_PERIOD) ->
 
 def monthly_revenue_series(star: Star, period: Period) -> DataFrame:
     """Unrounded revenue per calendar month of the window (months without sales absent)."""
-    return (order_lines(star, period, month=True)
+    return (order_totals(star, period, month=True)
             .groupBy("sales_month").agg(from_cents(F.sum("net_cents")).alias("revenue")))
 
 
@@ -169,7 +169,7 @@ def units_per_retailer(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame
 
 
 def promotion_totals(star: Star, period: Period) -> DataFrame:
-    lines = order_lines(star, period, promotion_id=True).filter(F.col("promotion_id").isNotNull())
+    lines = order_lines(star, period, promotion_id=True, promoted_only=True)
     per = lines.groupBy("promotion_id").agg(
         F.count(F.lit(1)).alias("items_sold"),
         from_cents(F.sum("gross_cents")).alias("gross"),
@@ -311,7 +311,7 @@ def distributor_scorecard(star: Star, period: Period = DEFAULT_PERIOD) -> DataFr
     distributor) and, rolled up, the totals; the latest growth is the value at
     the greatest month that has a predecessor (NULL for single-month distributors).
     """
-    monthly = lag_change(distributor_monthly(star, period), ["distributor_id"], "sales_month",
+    monthly = lag_change(distributor_monthly(star, period, counts=True), ["distributor_id"], "sales_month",
                          "monthly_revenue", prev="prev", pct="growth")
     card = monthly.groupBy("zone_name", "distributor_id", "distributor_name").agg(
         F.sum("monthly_revenue").alias("total"),
@@ -340,7 +340,8 @@ def risk_signals(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
     the previous row down); pct_below_zone_avg: % below the mean of the zone's
     unrounded totals, 0 when above; promo_participation_rate: promoted-line share.
     """
-    flagged = decline_flags(distributor_monthly(star, period), ["distributor_id"], "sales_month", "monthly_revenue")
+    flagged = decline_flags(distributor_monthly(star, period, counts=True), ["distributor_id"], "sales_month",
+                            "monthly_revenue")
     totals = flagged.groupBy("distributor_id", "distributor_name", "zone_name").agg(
         F.sum("monthly_revenue").alias("total"),
         F.sum("lines").alias("lines"),

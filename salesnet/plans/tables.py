@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from salesnet import schemas
 from salesnet.functions.scalar import DEC, dec_round, money, safe_pct
-from salesnet.operators import order_lines, range_attach, resolve_overlaps, with_products
+from salesnet.operators import order_lines, order_totals, range_attach, resolve_overlaps, with_products
 from salesnet.params import DEFAULT_PERIOD, Period
 from salesnet.sources.star import TABLE_NAMES, Star
 
@@ -318,7 +318,7 @@ def distributor_targets(star: Star, period: Period = DEFAULT_PERIOD) -> DataFram
     its distributors by tier weight."""
     geo = star.retailers.select("retailer_id", "distributor_id").join(
         star.distributors.select("distributor_id", "zone_id"), "distributor_id")
-    per_retailer = order_lines(star, period).groupBy("retailer_id").agg(F.count(F.lit(1)).alias("n"))
+    per_retailer = order_totals(star, period, measures=("lines",)).groupBy("retailer_id").agg(F.sum("lines").alias("n"))
     quotas = per_retailer.join(geo, "retailer_id").groupBy("zone_id").agg(F.sum("n").alias("quota"))
     dists = star.distributors.select("distributor_id", "distributor_name", "zone_id", "tier")
     out = allocate_targets(dists, quotas)

@@ -23,15 +23,20 @@ class Star:
     plans of the tables it reads.  ``lean_items`` is an optional cheaper view
     of the line table without ``promotion_id`` but with ``is_promoted`` and the
     cents columns; sources whose promotion id needs a join (the TPC-H mapping)
-    provide it so jobs that only ask "was this line promoted?" skip that join.
+    provide it so jobs that only ask "was this line promoted?" skip that join,
+    together with ``promotion_ids`` to attach the id late.
     """
 
-    def __init__(self, lean_items=None, **tables):
+    def __init__(self, lean_items=None, promotion_ids=None, **tables):
         missing = set(TABLE_NAMES) - set(tables)
         if missing:
             raise ValueError(f"missing star tables: {sorted(missing)}")
         self._src = dict(tables, lean_items=lean_items)
         self._built: dict[str, DataFrame] = {}
+        # Optional ``DataFrame -> DataFrame`` adding ``promotion_id`` to rows of
+        # ``lean_items`` (possibly already joined/filtered), for sources where
+        # the id needs a join: jobs attach it after their own filters and joins.
+        self.promotion_ids = promotion_ids
 
     def _get(self, name: str) -> Optional[DataFrame]:
         if name not in self._built:
@@ -49,6 +54,8 @@ class Star:
         (``gross_cents``, ``discount_cents``, ``net_cents``) for the aggregation
         hot path; ``promotion_id`` too when asked for."""
         lean = self._get("lean_items")
+        if promotion_id and lean is not None and self.promotion_ids is not None:
+            return self.promotion_ids(lean)
         if promotion_id or lean is None:
             df = self.sales_order_items
             return df.select(

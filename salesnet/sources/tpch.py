@@ -190,9 +190,17 @@ def tpch_star(spark: SparkSession, sf_dir: str) -> Star:
 
     def lean_items():
         return base().select("order_item_id", "order_id", "product_id", "quantity_units",
-                             "gross_cents", "discount_cents", "net_cents",
+                             "gross_cents", "discount_cents", "net_cents", "discount_pct",
                              promoted.alias("is_promoted"), *decimals())
 
+    def promotion_ids(lines: DataFrame) -> DataFrame:
+        # The category comes from the part row; applied to lines that were
+        # already filtered / joined by the job, so only those rows meet the part table.
+        typed = lines.join(part.select(F.col("p_partkey").alias("product_id"), "p_type"), "product_id", "left")
+        return typed.withColumn(
+            "promotion_id", F.when(F.col("is_promoted"), promotion_id(F.col("p_type"), F.col("discount_pct")))
+        ).drop("p_type")
+
     def sales_order_items():
         typed = base().join(part.select("p_partkey", "p_type"), F.col("product_id") == F.col("p_partkey"), "left")
         return typed.select(
@@ -202,5 +210,5 @@ def tpch_star(spark: SparkSession, sf_dir: str) -> Star:
 
     star = Star(zones=zones, distributors=distributors, retailers=retailers, products=products,
                 promotions=promotions, sales_orders=sales_orders, sales_order_items=sales_order_items,
-                lean_items=lean_items)
+                lean_items=lean_items, promotion_ids=promotion_ids)
     return star
