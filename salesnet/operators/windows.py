@@ -34,9 +34,13 @@ def share_of_total(df: DataFrame, value: str, by: Sequence[str] = (), out: str =
 
 
 def group_mean(df: DataFrame, value: str, by: Sequence[str], out: str) -> DataFrame:
-    """Attach the mean of ``value`` over ``by`` (an aggregate joined back on ``by``)."""
-    means = df.groupBy(*by).agg(F.avg(value).alias(out))
-    return df.join(means, list(by))
+    """Attach the mean of ``value`` over the rows sharing ``by``.
+
+    ``df`` has one row per entity of a dimension (e.g. distributors of a
+    zone), so this is an AVG window partitioned by ``by`` -- one exchange,
+    where an aggregate joined back would need a second one and a join.
+    """
+    return df.withColumn(out, F.avg(value).over(Window.partitionBy(*by)))
 
 
 def lag_change(df: DataFrame, keys: Sequence[str], order: str, value: str,
