@@ -169,12 +169,25 @@ def units_per_retailer(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame
 
 
 def promotion_totals(star: Star, period: Period) -> DataFrame:
-    lines = order_lines(star, period, promotion_id=True, promoted_only=True)
-    per = lines.groupBy("promotion_id").agg(
-        F.count(F.lit(1)).alias("items_sold"),
-        from_cents(F.sum("gross_cents")).alias("gross"),
-        from_cents(F.sum("discount_cents")).alias("disc"),
-        from_cents(F.sum("net_cents")).alias("net"))
+    """Lines, gross, discount and net per promotion over the promoted lines of the window.
+
+    Where the source derives the promotion id from the product (``promotion_ids``
+    hook), the lines are first reduced to one row per (product, discount) so the
+    product join that yields the id sees aggregated rows, not line rows.
+    """
+    sums = [F.count(F.lit(1)).alias("items_sold"), F.sum("gross_cents").alias("gross_cents"),
+            F.sum("discount_cents").alias("discount_cents"), F.sum("net_cents").alias("net_cents")]
+    if star.promotion_ids is not None:
+        pre = (order_lines(star, period, promoted_only=True)
+               .groupBy("product_id", "discount_pct", "is_promoted").agg(*sums))
+        per = star.promotion_ids(pre).groupBy("promotion_id").agg(
+            *[F.sum(c).alias(c) for c in ("items_sold", "gross_cents", "discount_cents", "net_cents")])
+    else:
+        per = order_lines(star, period, promotion_id=True, promoted_only=True).groupBy("promotion_id").agg(*sums)
+    per = per.select("promotion_id", "items_sold",
+                     from_cents(F.col("gross_cents")).alias("gross"),
+                     from_cents(F.col("discount_cents")).alias("disc"),
+                     from_cents(F.col("net_cents")).alias("net"))
     return per.join(star.promotions.select("promotion_id", "promotion_name", "category", "discount_percent"),
                     "promotion_id")
 

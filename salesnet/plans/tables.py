@@ -112,7 +112,8 @@ def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = REFEREN
     Row rules of a table are evaluated in one aggregate pass over it
     (``count_if(NOT pred)`` per rule); key uniqueness is a grouped count per key
     (partial aggregation before the shuffle, so a hot key is one row per task);
-    foreign keys are left anti joins of the non-NULL references.
+    foreign keys are left anti joins of the non-NULL references (counted per key
+    before the shuffle); a violation count is a number of rows.
     """
     rules = check_rules(domains)
     if implied:
@@ -134,9 +135,13 @@ def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = REFEREN
         per_val = tables[table].filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
         parts.append(per_val.agg(*_count_row(table, f"unique_{col}", F.count_if(F.col("n") > 1))))
     for child, col, parent, pkey in FOREIGN_KEYS:
-        refs = tables[child].select(col).filter(F.col(col).isNotNull())
+        # references counted per key first: partial aggregation collapses repeated
+        # references (the lines of an order, of a product) inside each task
+        # before the shuffle; the orphan rows are the sum of the orphan keys' counts
+        refs = (tables[child].select(col).filter(F.col(col).isNotNull())
+                .groupBy(col).agg(F.count(F.lit(1)).alias("_refs")))
         orphans = refs.join(tables[parent].select(F.col(pkey).alias(col)), col, "left_anti")
-        parts.append(orphans.agg(*_count_row(child, f"foreign_key_{col}", F.count(F.lit(1)))))
+        parts.append(orphans.agg(*_count_row(child, f"foreign_key_{col}", F.coalesce(F.sum("_refs"), F.lit(0)))))
     out = reduce(DataFrame.unionByName, parts)
     if only_violated:
         out = out.filter(F.col("violations") > 0)

@@ -33,9 +33,11 @@ class Star:
             raise ValueError(f"missing star tables: {sorted(missing)}")
         self._src = dict(tables, lean_items=lean_items)
         self._built: dict[str, DataFrame] = {}
-        # Optional ``DataFrame -> DataFrame`` adding ``promotion_id`` to rows of
-        # ``lean_items`` (possibly already joined/filtered), for sources where
-        # the id needs a join: jobs attach it after their own filters and joins.
+        # Optional ``DataFrame -> DataFrame`` adding ``promotion_id`` to rows that
+        # carry the lean line columns ``product_id``, ``discount_pct`` and
+        # ``is_promoted`` (line rows, possibly filtered / joined, or rows already
+        # aggregated by those columns), for sources where the id needs a join:
+        # jobs attach it after their own filters, joins and partial aggregates.
         self.promotion_ids = promotion_ids
 
     def _get(self, name: str) -> Optional[DataFrame]:

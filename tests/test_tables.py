@@ -147,3 +147,10 @@ def test_star_round_trip(spark, sb, tmp_path):
         got = [(f.name, f.dataType) for f in back.tables()[name].schema.fields]
         assert got == [(f.name, f.dataType) for f in schema.fields]
         assert back.tables()[name].count() == star.tables()[name].count()
+
+
+def test_foreign_key_violations_count_rows(spark, sb):
+    sb.sale(1, "2025-01-05", 10)
+    sb.line(99, 5).line(99, 6).line(98, 1)   # three orphan lines, two missing orders
+    v = _violations(tables.check_constraints(sb.build(spark), only_violated=True))
+    assert v == {("sales_order_items", "foreign_key_order_id"): 3}
