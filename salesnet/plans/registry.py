@@ -55,6 +55,7 @@ def analytic_queries() -> dict[str, Query]:
         "consecutive_declines": _on_star(jobs.consecutive_declines),
         "cohort_retention": _on_star(jobs.cohort_retention_matrix),
         "declining_skus_h2": _on_star(jobs.declining_skus),
+        "declining_products_h2": _on_star(jobs.declining_skus, sku_key="product_id"),
         "distributor_scorecard": _on_star(jobs.distributor_scorecard),
         "revenue_at_risk": _on_star(jobs.revenue_at_risk),
         "sku_substitution": _on_star(jobs.sku_substitution),

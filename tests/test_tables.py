@@ -154,3 +154,17 @@ def test_foreign_key_violations_count_rows(spark, sb):
     sb.line(99, 5).line(99, 6).line(98, 1)   # three orphan lines, two missing orders
     v = _violations(tables.check_constraints(sb.build(spark), only_violated=True))
     assert v == {("sales_order_items", "foreign_key_order_id"): 3}
+
+
+def test_export_csv_with_header(spark, sb, tmp_path):
+    # R11 / S3
+    from salesnet.sources import export_csv
+    sb.sale(1, "2025-01-05", 10).sale(1, "2025-02-05", 20)
+    out = str(tmp_path / "monthly")
+    export_csv(reports.monthly_revenue_report(sb.build(spark), YEAR), out, single_file=True)
+    import glob
+    files = glob.glob(f"{out}/part-*.csv")
+    assert len(files) == 1
+    lines = open(files[0]).read().splitlines()
+    assert lines[0] == "sales_month,monthly_revenue,month_label,revenue_label,is_peak"
+    assert len(lines) == 3
