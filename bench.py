@@ -30,7 +30,8 @@ def main() -> int:
     from salesnet.session import get_session
     import __spark_entry__ as E
 
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(4, cpus * 2))
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(4, cpus * 2)))
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=parts)
     qs = E.queries()
     if only:
         qs = {k: v for k, v in qs.items() if k in only}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from salesnet.functions.scalar import DEC, dec_round, from_cents, money, safe_pct
 from salesnet.operators import (
     cohort_retention, consecutive, decline_flags, geography, group_mean, lag_change, latest_value,
-    minmax_score, order_lines, order_totals, orders_in, pairwise_corr, rank_within, rolling_mean,
+    minmax_score, order_lines, order_totals, pairwise_corr, rank_within, rolling_mean,
     share_of_total, tier_label, top_n_per_group, weighted_sum, with_geography, with_products,
     without_activity,
 )

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesnet import schemas
-from salesnet.functions.scalar import DEC, dec_round, money, safe_pct
+from salesnet.functions.scalar import DEC, money, safe_pct
 from salesnet.operators import order_lines, order_totals, range_attach, resolve_overlaps, with_products
 from salesnet.params import DEFAULT_PERIOD, Period
 from salesnet.sources.star import TABLE_NAMES, Star

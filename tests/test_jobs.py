@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from conftest import YEAR, D, d, rows
 
 from salesnet.plans import jobs

@@ -9,7 +9,6 @@ from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from salesnet import schemas
 from salesnet.operators import cohort_retention, pairwise_corr
