@@ -229,7 +229,8 @@ def sku_share_of_category(star: Star, period: Period = DEFAULT_PERIOD) -> DataFr
 
 def never_promoted_retailers(star: Star) -> DataFrame:
     """Retailers with no promoted line ever (no window; retailers without orders included)."""
-    promoted_orders = star.items().filter(F.col("is_promoted")).select("order_id")
+    # distinct first: the partial aggregate collapses an order's promoted lines in the scan task
+    promoted_orders = star.items().filter(F.col("is_promoted")).select("order_id").distinct()
     buyers = star.sales_orders.select("order_id", "retailer_id").join(promoted_orders, "order_id", "left_semi")
     people = geography(star, ["retailer_name", "channel_type", "distributor_name", "zone_name"])
     return (without_activity(people, buyers.select("retailer_id"), "retailer_id")

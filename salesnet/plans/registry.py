@@ -25,6 +25,11 @@ def star_for(spark: SparkSession, sf_dir: str):
     return _STARS[key]
 
 
+def use_star(spark: SparkSession, sf_dir: str, star) -> None:
+    """Make the registered queries of ``sf_dir`` run on ``star`` (e.g. a loaded star schema)."""
+    _STARS[(id(spark), id(spark.sparkContext), sf_dir)] = star
+
+
 def _on_star(fn, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(star_for(spark, sf_dir), **kw)

@@ -94,3 +94,32 @@ def write_star(star: Star, path: str, mode: str = "overwrite") -> None:
         if name == "sales_orders":
             df = df.sortWithinPartitions("order_date")
         df.write.mode(mode).parquet(f"{path}/{name}")
+
+
+BUCKETED = ("sales_orders", "sales_order_items")
+
+
+def write_star_tables(star: Star, prefix: str, buckets: int, path: str | None = None,
+                      mode: str = "overwrite") -> None:
+    """Save the star as catalog tables ``<prefix><table>``, orders and lines bucketed
+    and sorted by ``order_id`` into ``buckets`` buckets.
+
+    With both sides bucketed alike, the order-line join and the per-order
+    aggregate of every job read co-located buckets: the largest shuffle of the
+    jobs disappears for every later run.  ``path`` makes them external tables
+    under ``<path>/<table>`` (shared storage on a cluster).
+    """
+    for name in schemas.CREATE_ORDER:
+        df = schemas.conform(star.tables()[name], schemas.STAR[name])
+        writer = df.write.mode(mode).format("parquet")
+        if name in BUCKETED:
+            writer = writer.bucketBy(buckets, "order_id").sortBy("order_id")
+        if path:
+            writer = writer.option("path", f"{path}/{name}")
+        writer.saveAsTable(f"{prefix}{name}")
+
+
+def load_star_tables(spark: SparkSession, prefix: str) -> Star:
+    """The star from catalog tables written by ``write_star_tables`` (bucketing kept)."""
+    return Star(**{name: schemas.conform(spark.table(f"{prefix}{name}"), schema)
+                   for name, schema in schemas.STAR.items()})

@@ -168,3 +168,21 @@ def test_export_csv_with_header(spark, sb, tmp_path):
     lines = open(files[0]).read().splitlines()
     assert lines[0] == "sales_month,monthly_revenue,month_label,revenue_label,is_peak"
     assert len(lines) == 3
+
+
+def test_bucketed_star_joins_lines_to_orders_without_shuffle(spark, sb, tmp_path):
+    from salesnet.operators import order_totals
+    from salesnet.sources import load_star_tables, write_star_tables
+    for i in range(20):
+        sb.sale(1, f"2025-01-{i + 1:02d}", 10 + i)
+    write_star_tables(sb.build(spark), "bk_", 4, path=str(tmp_path / "wh"))
+    star = load_star_tables(spark, "bk_")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = order_totals(star, YEAR)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert df.agg(F.sum("net_cents")).first()[0] == sum(1000 + 100 * i for i in range(20))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
