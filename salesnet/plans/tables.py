@@ -101,10 +101,6 @@ IMPLIED_LINE_RULES = [
 ]
 
 
-def _count_row(table: str, rule: str, n: Column) -> list:
-    return [F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), n.cast("long").alias("violations")]
-
-
 def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = REFERENCE_DOMAINS,
                       implied: bool = False, only_violated: bool = False) -> DataFrame:
     """R2: one row per rule: (rule, table_name, violations).
@@ -123,17 +119,20 @@ def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = REFEREN
     for table, rs in rules.items():
         if not rs:
             continue
-        df = tables[table]
-        counts = df.agg(*[F.count_if(~F.expr(pred)).alias(f"c{i}") for i, (_, pred) in enumerate(rs)])
+        # one aggregate pass per table; the rules are SQL predicates, so the pass is
+        # written as SQL expressions: count_if(NOT pred) per rule, then stacked to rows
+        counts = tables[table].selectExpr(*[f"count_if(NOT ({pred})) AS c{i}" for i, (_, pred) in enumerate(rs)])
         stack = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(rs))
-        parts.append(counts.select(F.expr(f"stack({len(rs)}, {stack}) AS (rule, violations)"))
-                     .select(F.col("rule"), F.lit(table).alias("table_name"), F.col("violations").cast("long")))
+        parts.append(counts.selectExpr(f"stack({len(rs)}, {stack}) AS (rule, violations)",
+                                       ).selectExpr("rule", f"'{table}' AS table_name", "CAST(violations AS BIGINT) AS violations"))
     for table, key in PRIMARY_KEYS.items():
         per_key = tables[table].groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(per_key.agg(*_count_row(table, f"primary_key_unique_{key}", F.count_if(F.col("n") > 1))))
+        parts.append(per_key.selectExpr(f"'primary_key_unique_{key}' AS rule", f"'{table}' AS table_name",
+                                        "CAST(count_if(n > 1) AS BIGINT) AS violations"))
     for table, col in UNIQUE:
         per_val = tables[table].filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(per_val.agg(*_count_row(table, f"unique_{col}", F.count_if(F.col("n") > 1))))
+        parts.append(per_val.selectExpr(f"'unique_{col}' AS rule", f"'{table}' AS table_name",
+                                        "CAST(count_if(n > 1) AS BIGINT) AS violations"))
     for child, col, parent, pkey in FOREIGN_KEYS:
         # references counted per key first: partial aggregation collapses repeated
         # references (the lines of an order, of a product) inside each task
@@ -141,7 +140,8 @@ def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = REFEREN
         refs = (tables[child].select(col).filter(F.col(col).isNotNull())
                 .groupBy(col).agg(F.count(F.lit(1)).alias("_refs")))
         orphans = refs.join(tables[parent].select(F.col(pkey).alias(col)), col, "left_anti")
-        parts.append(orphans.agg(*_count_row(child, f"foreign_key_{col}", F.coalesce(F.sum("_refs"), F.lit(0)))))
+        parts.append(orphans.selectExpr(f"'foreign_key_{col}' AS rule", f"'{child}' AS table_name",
+                                        "CAST(coalesce(sum(_refs), 0) AS BIGINT) AS violations"))
     out = reduce(DataFrame.unionByName, parts)
     if only_violated:
         out = out.filter(F.col("violations") > 0)
