@@ -87,8 +87,9 @@ def inactive_entities(star: Star, days: int = 60, entity: str = "distributor") -
     ``distributor`` (the reference question) or ``retailer``.
     """
     last = star.sales_orders.agg(F.max("order_date")).scalar()
+    # distinct retailer ids: a partial aggregate, so a retailer with many recent orders is one row per task
     recent = star.sales_orders.filter(
-        (F.col("order_date") > F.date_sub(last, days)) & (F.col("order_date") <= last)).select("retailer_id")
+        (F.col("order_date") > F.date_sub(last, days)) & (F.col("order_date") <= last)).select("retailer_id").distinct()
     if entity == "retailer":
         people = geography(star, ["retailer_name", "channel_type", "distributor_name", "zone_name"])
         return (without_activity(people, recent, "retailer_id")
@@ -153,13 +154,15 @@ def underperforming_distributors(star: Star, period: Period = DEFAULT_PERIOD) ->
 def units_per_retailer(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
     """Units, buying retailers and units per buying retailer by zone x category.
 
-    Lines are first reduced to (retailer, category); since a retailer belongs
+    Lines are reduced to (retailer, product) before the product join (a hot
+    product is then one row per retailer), then to (retailer, category); since a retailer belongs
     to one zone, the count of those rows per (zone, category) is the distinct
     number of retailers that bought the category.
     """
-    lines = with_products(order_lines(star, period).select("retailer_id", "product_id", "quantity_units"),
-                          star, ["category"])
-    per_retailer = lines.groupBy("retailer_id", "category").agg(F.sum("quantity_units").alias("units"))
+    per_product = (order_lines(star, period).groupBy("retailer_id", "product_id")
+                   .agg(F.sum("quantity_units").alias("units")))
+    per_retailer = (with_products(per_product, star, ["category"])
+                    .groupBy("retailer_id", "category").agg(F.sum("units").alias("units")))
     out = (with_geography(per_retailer, star, ["zone_name"])
            .groupBy("zone_name", "category")
            .agg(F.sum("units").alias("total_units_sold"), F.count(F.lit(1)).alias("retailer_count")))
@@ -412,12 +415,14 @@ NO_SUBSTITUTION = "No substitution signal"
 
 
 def sku_substitution(star: Star, period: Period = DEFAULT_PERIOD, threshold: float = -0.5,
-                     sku_key: str = "sku_name") -> DataFrame:
+                     sku_key: str = "sku_name", min_overlap: int = 0) -> DataFrame:
     """SKU pairs of a category whose monthly units correlate below ``threshold``.
 
     Pearson r over the months both SKUs sold; filter and label use the
     unrounded r, the output shows it rounded to 3 dp.  ``sku_key`` is
-    ``product_id`` or ``sku_name`` (product line).
+    ``product_id`` or ``sku_name`` (product line).  ``min_overlap`` optionally
+    requires that many shared months (off by default, as in the question: two
+    shared months already give r = +-1).
     """
     per = with_products(product_totals(star, period, month=True).select("product_id", "sales_month", "units"),
                         star, ["category", "sku_name"])
@@ -433,6 +438,8 @@ def sku_substitution(star: Star, period: Period = DEFAULT_PERIOD, threshold: flo
     label = F.when(r < F.lit(float(SUBSTITUTION_LABELS[0][0])), F.lit(SUBSTITUTION_LABELS[0][1])) \
              .when(r < F.lit(float(SUBSTITUTION_LABELS[1][0])), F.lit(SUBSTITUTION_LABELS[1][1])) \
              .otherwise(F.lit(NO_SUBSTITUTION))
+    if min_overlap:
+        pairs = pairs.filter(F.col("n_shared") >= min_overlap)
     return (pairs.filter(r < F.lit(threshold))
             .select("category", "sku_a", "sku_b",
                     F.round(r.cast("decimal(20,8)"), 3).cast("double").alias("correlation"),

@@ -290,32 +290,50 @@ def repriced_products(star: Star, cost_ratio: Column) -> DataFrame:
     return priced.select("product_id", *[F.col(c).cast("double").alias(c) for c in ("mrp", "trade_price", "cost_price")])
 
 
+def _weighted_totals(priced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Totals of per-line amounts over groups of identical lines (``n`` lines each)."""
+    w = F.col("n")
+    return (priced.groupBy(*keys)
+            .agg(F.sum(w).alias("lines"),
+                 money(F.sum(F.col("gross_sales_value") * w)).alias("gross_value"),
+                 money(F.sum(F.col("discount_value") * w)).alias("discount_value"),
+                 money(F.sum(F.col("net_sales_value") * w)).alias("net_value"))
+            .orderBy(*keys))
+
+
 def promotion_attach_summary(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
-    """R6 on the lines of a window: lines and list-price gross per attached promotion
-    (NULL promotion = no valid campaign)."""
-    lines = with_products(order_lines(star, period).select("product_id", "order_date", "quantity_units"),
-                          star, ["category", "trade_price"])
+    """R6 on the lines of a window: lines and list-price amounts per attached promotion
+    (NULL promotion = no valid campaign).
+
+    Lines with the same (product, date, quantity) get the same promotion and the
+    same per-line rounded amounts, so they are counted into one row first (a
+    partial aggregate: a hot product is one row per date and quantity per task)
+    and the product join and range join see those rows, weighted by the count.
+    """
+    groups = (order_lines(star, period).groupBy("product_id", "order_date", "quantity_units")
+              .agg(F.count(F.lit(1)).alias("n")))
+    lines = with_products(groups, star, ["category", "trade_price"])
     attached = line_financials(attach_promotion(lines, star.promotions))
-    return (attached.groupBy("category", "promotion_id")
-            .agg(F.count(F.lit(1)).alias("lines"),
-                 money(F.sum("gross_sales_value")).alias("gross_value"),
-                 money(F.sum("discount_value")).alias("discount_value"),
-                 money(F.sum("net_sales_value")).alias("net_value"))
-            .orderBy("category", "promotion_id"))
+    return _weighted_totals(attached, ["category", "promotion_id"])
 
 
 def list_price_financials(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
     """R7 on the lines of a window: gross / discount / net re-priced at the product's
-    trade price with the line's own promotion percentage (0 when not promoted)."""
-    lines = order_lines(star, period, promotion_id=True).select("product_id", "quantity_units", "promotion_id")
-    lines = lines.join(star.promotions.select("promotion_id", "discount_percent"), "promotion_id", "left")
-    priced = line_financials(with_products(lines, star, ["category", "trade_price"]))
-    return (priced.groupBy("category")
-            .agg(F.count(F.lit(1)).alias("lines"),
-                 money(F.sum("gross_sales_value")).alias("gross_value"),
-                 money(F.sum("discount_value")).alias("discount_value"),
-                 money(F.sum("net_sales_value")).alias("net_value"))
-            .orderBy("category"))
+    trade price with the line's own promotion percentage (0 when not promoted).
+
+    Lines with the same (product, quantity, promotion) price identically, so they are
+    counted into one row before the product and promotion joins (see R6).
+    """
+    if star.promotion_ids is not None:
+        pre = (order_lines(star, period).groupBy("product_id", "quantity_units", "discount_pct", "is_promoted")
+               .agg(F.count(F.lit(1)).alias("n")))
+        groups = star.promotion_ids(pre).select("product_id", "quantity_units", "promotion_id", "n")
+    else:
+        groups = (order_lines(star, period, promotion_id=True).groupBy("product_id", "quantity_units", "promotion_id")
+                  .agg(F.count(F.lit(1)).alias("n")))
+    groups = groups.join(star.promotions.select("promotion_id", "discount_percent"), "promotion_id", "left")
+    priced = line_financials(with_products(groups, star, ["category", "trade_price"]))
+    return _weighted_totals(priced, ["category"])
 
 
 def distributor_targets(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:

@@ -251,3 +251,9 @@ def test_substitution_filter_uses_unrounded_r(spark):
         "category string, sku string, month int, units double")
     r = pairwise_corr(series, "sku", "category", "month", "units").first()["correlation"]
     assert abs(r - target) < 1e-9 and r < -0.5 and round(r, 3) == -0.5
+
+
+def test_substitution_min_overlap(spark, sb):
+    star = _units_star(sb, [[1, 2, 3, None], [3, 2, 1, 5]]).build(spark)
+    assert jobs.sku_substitution(star, YEAR, sku_key="product_id").count() == 1
+    assert jobs.sku_substitution(star, YEAR, sku_key="product_id", min_overlap=4).count() == 0
