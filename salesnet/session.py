@@ -48,12 +48,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_ROOTS: dict = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only where none is configured.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that setting is
-    always used when present.  Only a local-mode session (tests) without it gets
-    a fresh folder under the system temp directory; a cluster session without it
+    An existing setting wins (the cluster's shared ``spark.checkpoint.dir`` or a
+    folder the user set).  Only a local-mode session (tests) without one gets a
+    fresh folder under the system temp directory; a cluster session without one
     is an error, because a machine-local folder would not survive executor loss.
     """
     sc = spark.sparkContext
@@ -67,5 +70,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running salesnet jobs on a cluster")
     local = tempfile.mkdtemp(prefix="salesnet-ckpt-")
+    _LOCAL_ROOTS[id(sc)] = local
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The checkpoint folder without the per-application subfolder Spark adds, so that
+    paths under it (streaming checkpoints) are stable across application restarts."""
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    current = ensure_checkpoint_dir(spark)
+    return _LOCAL_ROOTS.get(id(sc)) or os.path.dirname(current.rstrip("/"))

@@ -16,8 +16,8 @@ filter on the target scan.
 
 from __future__ import annotations
 
+import hashlib
 import os
-import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesnet.plans.tables import insert_if_absent
-from salesnet.session import ensure_checkpoint_dir
+from salesnet.session import checkpoint_root
 
 
 def _target(spark: SparkSession, path: str, schema: T.StructType, partition_col: str | None) -> DataFrame | None:
@@ -69,10 +69,13 @@ def start_idempotent_load(spark: SparkSession, source_dir: str, target_dir: str,
     """Start the stream ``source_dir`` (Parquet files) -> ``target_dir`` and return the query.
 
     ``available_now`` processes everything present and stops (a scheduled
-    batch load); otherwise it keeps running with the default trigger.
+    batch load); otherwise it keeps running with the default trigger.  The
+    default checkpoint location is derived from the (source, target) pair under
+    the shared checkpoint root, so a restarted load resumes where it stopped.
     """
-    ckpt = checkpoint_location or os.path.join(ensure_checkpoint_dir(spark),
-                                               f"salesnet-load-{os.path.basename(target_dir.rstrip('/'))}-{uuid.uuid4().hex[:8]}")
+    key = hashlib.sha1(f"{source_dir}|{target_dir}".encode()).hexdigest()[:16]
+    ckpt = checkpoint_location or os.path.join(
+        checkpoint_root(spark), "salesnet-load", f"{os.path.basename(target_dir.rstrip('/'))}-{key}")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

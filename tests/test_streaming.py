@@ -28,3 +28,14 @@ def test_stream_appends_each_key_once(spark, tmp_path):
     q.awaitTermination()
     got = spark.read.schema(ORDERS_WITH_MONTH).option("basePath", dst).parquet(dst)
     assert sorted(r["order_id"] for r in got.collect()) == [1, 2, 3]
+
+
+def test_default_checkpoint_resumes(spark, tmp_path):
+    # Without an explicit location the checkpoint path depends only on (source, target):
+    # a second start of the same load sees the first one's progress and appends nothing.
+    src, dst = str(tmp_path / "in"), str(tmp_path / "out")
+    _orders(spark, [(7, 1, "2025-03-01")]).write.mode("append").parquet(src)
+    start_idempotent_load(spark, src, dst, ORDERS_WITH_MONTH, ["order_id"], "order_month").awaitTermination()
+    start_idempotent_load(spark, src, dst, ORDERS_WITH_MONTH, ["order_id"], "order_month").awaitTermination()
+    got = spark.read.schema(ORDERS_WITH_MONTH).option("basePath", dst).parquet(dst)
+    assert [r["order_id"] for r in got.collect()] == [7]
