@@ -33,12 +33,14 @@ ZONE_COLS = ("zone_name",)
 
 def orders_in(star: Star, period: Period | None, month: bool = False) -> DataFrame:
     """Orders of the window (all orders when ``period`` is None)."""
-    orders = star.sales_orders.select("order_id", "retailer_id", "order_date")
-    if period is not None:
-        orders = in_period(orders, "order_date", period.start, period.end)
-    if month:
-        orders = orders.withColumn("sales_month", month_start(F.col("order_date")))
-    return orders
+    def build():
+        orders = star.sales_orders.select("order_id", "retailer_id", "order_date")
+        if period is not None:
+            orders = in_period(orders, "order_date", period.start, period.end)
+        if month:
+            orders = orders.withColumn("sales_month", month_start(F.col("order_date")))
+        return orders
+    return star.memo(("orders_in", period, month), build)
 
 
 def order_lines(star: Star, period: Period | None = None, month: bool = False,
@@ -116,6 +118,10 @@ def geography(star: Star, cols: Iterable[str]) -> DataFrame:
     chain costs one pass over the retailers.
     """
     cols = list(dict.fromkeys(cols))
+    return star.memo(("geography", tuple(cols)), lambda: _geography(star, cols))
+
+
+def _geography(star: Star, cols: list) -> DataFrame:
     r_cols = [c for c in cols if c in RETAILER_COLS]
     d_cols = [c for c in cols if c in DISTRIBUTOR_COLS]
     z_cols = [c for c in cols if c in ZONE_COLS]

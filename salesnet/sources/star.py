@@ -33,6 +33,7 @@ class Star:
             raise ValueError(f"missing star tables: {sorted(missing)}")
         self._src = dict(tables, lean_items=lean_items)
         self._built: dict[str, DataFrame] = {}
+        self._memo: dict = {}
         # Optional ``DataFrame -> DataFrame`` adding ``promotion_id`` to rows that
         # carry the lean line columns ``product_id``, ``discount_pct`` and
         # ``is_promoted`` (line rows, possibly filtered / joined, or rows already
@@ -67,6 +68,13 @@ class Star:
                 to_cents(F.col("net_sales_value")).alias("net_cents"))
         return lean
 
+    def memo(self, key, build):
+        """Plan fragment ``build()`` shared by every job on this star with the same
+        ``key`` (DataFrames are immutable plans, so sharing them is safe)."""
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: self._get(name) for name in TABLE_NAMES}
 
