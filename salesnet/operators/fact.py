@@ -73,12 +73,20 @@ LINE_MEASURES = {
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (from file sizes; no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's size estimate of ``df`` (from file sizes; no job is run),
+    or -1 where the session does not expose it (e.g. a Spark Connect client)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: plan for large data
+        return -1
 
 
 def broadcast_limit(spark) -> int:
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: broadcasting off or unknown)."""
+    try:
+        return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # noqa: BLE001
+        return -1
 
 
 def order_totals(star: Star, period: Period | None = None, month: bool = False,
@@ -98,7 +106,8 @@ def order_totals(star: Star, period: Period | None = None, month: bool = False,
       job -- carries about one row per order instead of one per line; the final
       aggregate's partitioning is the one the join needs, so it adds no exchange.
 
-    Both plans compute the same exact sums.
+    Both plans compute the same exact sums.  Without a size estimate the large-data
+    plan is used.
     """
     orders = orders_in(star, period, month)
     aggs = [ORDER_MEASURES[m]().alias(m) for m in measures]

@@ -84,7 +84,7 @@ def inactive_entities(star: Star, days: int = 60, entity: str = "distributor") -
 
     ``max_date`` is a one-row scalar subquery over the order dates.  Entities
     without retailers or orders count as inactive.  ``entity`` is
-    ``distributor`` (the reference question) or ``retailer``.
+    ``distributor`` (the original question) or ``retailer``.
     """
     last = star.sales_orders.agg(F.max("order_date")).scalar()
     # distinct retailer ids: a partial aggregate, so a retailer with many recent orders is one row per task

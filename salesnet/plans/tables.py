@@ -25,7 +25,7 @@ from salesnet.sources.star import TABLE_NAMES, Star
 # ---------------------------------------------------------------- R2 constraints
 
 # The declared domains of the star schema.
-REFERENCE_DOMAINS = {
+DECLARED_DOMAINS = {
     "tier": ["A", "B", "C"],
     "channel_type": ["General Trade", "Modern Trade", "Wholesale"],
     "category": ["Home Care", "Personal Care", "Packaged Foods", "Beverages"],
@@ -55,7 +55,7 @@ FOREIGN_KEYS = [
 UNIQUE = [("zones", "zone_name")]
 
 
-def check_rules(domains: Mapping[str, Sequence[str]] = REFERENCE_DOMAINS) -> dict[str, list[tuple[str, str]]]:
+def check_rules(domains: Mapping[str, Sequence[str]] = DECLARED_DOMAINS) -> dict[str, list[tuple[str, str]]]:
     """Row-level CHECK / NOT NULL / length rules per table as (rule name, SQL predicate).
 
     A row violates a rule when the predicate is FALSE; NULL passes, as in SQL.
@@ -115,7 +115,7 @@ def promotion_references(star: Star) -> DataFrame:
             .groupBy("promotion_id").agg(F.count(F.lit(1)).alias("_refs")))
 
 
-def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = REFERENCE_DOMAINS,
+def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = DECLARED_DOMAINS,
                       implied: bool = False, only_violated: bool = False) -> DataFrame:
     """R2: one row per rule: (rule, table_name, violations).
 

@@ -23,21 +23,23 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from salesnet.plans.tables import insert_if_absent
 from salesnet.session import checkpoint_root
 
 
 def _target(spark: SparkSession, path: str, schema: T.StructType, partition_col: str | None) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return None
+    """The target table, or None before its first write."""
     reader = spark.read.schema(schema)
     if partition_col:
         reader = reader.option("basePath", path)
-    return reader.parquet(path)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return None
+        raise
 
 
 def append_new_keys(batch: DataFrame, target_dir: str, schema: T.StructType, keys: Sequence[str],
