@@ -420,7 +420,11 @@ def sku_substitution(star: Star, period: Period = DEFAULT_PERIOD, threshold: flo
 
     Pearson r over the months both SKUs sold; filter and label use the
     unrounded r, the output shows it rounded to 3 dp.  ``sku_key`` is
-    ``product_id`` or ``sku_name`` (product line).  ``min_overlap`` optionally
+    ``sku_name`` (product line, the default) or ``product_id``.  The pairs are
+    the output domain: C(k, 2) per category and month for k items of the
+    category sold that month.  At product-line grain k is bounded by the brands
+    of a category; the product-id grain suits catalogues where it is small
+    (the original question has ten SKUs per category).  ``min_overlap`` optionally
     requires that many shared months (off by default, as in the question: two
     shared months already give r = +-1).
     """
