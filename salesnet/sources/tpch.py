@@ -168,8 +168,11 @@ def tpch_star(spark: SparkSession, sf_dir: str) -> Star:
     # aggregation hot path sums BIGINTs instead of wide DECIMALs; the declared
     # DECIMAL(12,2) columns are derived from the cents and only computed when a
     # job selects them.  discount = gross x pct / 100 rounded half up.
-    gross_c = "CAST(round(l_extendedprice * 100) AS BIGINT)"
-    pct_c = "CAST(round(l_discount * 100) AS INT)"
+    # half-up to the nearest integer as floor(x + 0.5): exact for these non-negative
+    # cent-grid values and about 2x faster per row than round(), which goes
+    # through a BigDecimal for every double
+    gross_c = "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)"
+    pct_c = "CAST(floor(l_discount * 100 + 0.5) AS INT)"
     promoted = F.col("discount_pct") >= F.lit(PROMOTION_TIERS[0])
 
     def base():
