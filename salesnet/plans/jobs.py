@@ -23,6 +23,7 @@ from salesnet.operators import (
     without_activity,
 )
 from salesnet.params import DEFAULT_H2, DEFAULT_PERIOD, Period
+from salesnet.operators.fact import broadcast_limit, estimated_bytes
 from salesnet.sources.star import Star
 
 
@@ -39,20 +40,43 @@ def retailer_totals(star: Star, period: Period, month: bool = False, counts: boo
             .withColumn("revenue", from_cents(F.col("net_cents"))).drop("net_cents"))
 
 
+def geo_totals(star: Star, period: Period, geo: list, month: bool = False, counts: bool = False) -> DataFrame:
+    """Revenue (``revenue``; with ``counts`` also ``lines`` and ``promoted_lines``) per
+    geography key ``geo`` (+ ``sales_month``): zone, channel, distributor...
+
+    Plan chosen by size, same sums either way:
+
+    * retailer table small enough to broadcast (checked on the planner's size
+      estimate): lines are joined map-side to the broadcast orders and the
+      broadcast retailer -> distributor -> zone chain and aggregated once, by
+      ``geo`` -- no per-retailer stage;
+    * otherwise (large data): aggregate per retailer first (partial, so a hot
+      retailer is one row per task), then join the retailer dimension to those
+      rows and roll up.
+    """
+    keys = list(geo) + (["sales_month"] if month else [])
+    measures = ("net_cents", "lines", "promoted_lines") if counts else ("net_cents",)
+    retailers = star.retailers.select("retailer_id", "distributor_id")
+    size, limit = estimated_bytes(retailers), broadcast_limit(retailers.sparkSession)
+    if 0 <= size <= limit:
+        lines = order_totals(star, period, month=month, measures=measures)
+        rows = lines.join(F.broadcast(geography(star, geo)), "retailer_id")
+        out = rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+        return out.withColumn("revenue", from_cents(F.col("net_cents"))).drop("net_cents")
+    per_retailer = retailer_totals(star, period, month=month, counts=counts)
+    sums = [F.sum("revenue").alias("revenue")] + ([F.sum("lines").alias("lines"),
+                                                   F.sum("promoted_lines").alias("promoted_lines")] if counts else [])
+    return with_geography(per_retailer, star, geo).groupBy(*keys).agg(*sums)
+
+
 def distributor_monthly(star: Star, period: Period, zone: bool = True, counts: bool = False) -> DataFrame:
     """Monthly revenue (and line / promoted-line counts) per distributor (the J13-J15, J18, J19 base)."""
     geo = ["distributor_id", "distributor_name"] + (["zone_name"] if zone else [])
-    sums = [F.sum("revenue").alias("monthly_revenue")]
-    if counts:
-        sums += [F.sum("lines").alias("lines"), F.sum("promoted_lines").alias("promoted_lines")]
-    return (with_geography(retailer_totals(star, period, month=True, counts=counts), star, geo)
-            .groupBy(*geo, "sales_month").agg(*sums))
+    return geo_totals(star, period, geo, month=True, counts=counts).withColumnRenamed("revenue", "monthly_revenue")
 
 
 def distributor_totals(star: Star, period: Period) -> DataFrame:
-    geo = ["zone_name", "distributor_id", "distributor_name"]
-    return (with_geography(retailer_totals(star, period), star, geo)
-            .groupBy(*geo).agg(F.sum("revenue").alias("revenue")))
+    return geo_totals(star, period, ["zone_name", "distributor_id", "distributor_name"])
 
 
 def product_totals(star: Star, period: Period, month: bool = False) -> DataFrame:
@@ -66,8 +90,8 @@ def product_totals(star: Star, period: Period, month: bool = False) -> DataFrame
 
 def revenue_by_zone(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
     """Net revenue per zone, largest first."""
-    return (with_geography(retailer_totals(star, period), star, ["zone_name"])
-            .groupBy("zone_name").agg(money(F.sum("revenue")).alias("total_revenue"))
+    return (geo_totals(star, period, ["zone_name"])
+            .select("zone_name", money(F.col("revenue")).alias("total_revenue"))
             .orderBy(F.desc("total_revenue")))
 
 
@@ -102,8 +126,7 @@ def inactive_entities(star: Star, days: int = 60, entity: str = "distributor") -
 
 def channel_revenue_split(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
     """Revenue per channel and its share of the grand total."""
-    per_channel = (with_geography(retailer_totals(star, period), star, ["channel_type"])
-                   .groupBy("channel_type").agg(F.sum("revenue").alias("revenue")))
+    per_channel = geo_totals(star, period, ["channel_type"])
     return (share_of_total(per_channel, "revenue", out="share")
             .select("channel_type", money(F.col("revenue")).alias("total_revenue"),
                     money(F.col("share")).alias("revenue_percentage"))
