@@ -2,10 +2,12 @@
 
 Plan shape used by every job, chosen for large inputs:
 
-1. ``order_lines``: lines joined to the orders of the window.  The window filter
-   is pushed into the orders scan; at scale the order side is the smaller one
-   and the runtime bloom filter trims the line scan before the shuffle on the
-   order key (the one unavoidable shuffle of line rows).
+1. Lines meet the orders of the window: ``order_lines`` (line grain, for
+   product-level jobs) or ``order_totals`` (additive per-order totals, for
+   retailer-level jobs; pre-aggregated per order before the join when the
+   orders are too big to broadcast).  The window filter is pushed into the
+   orders scan, and at scale the runtime bloom filter of the window's order
+   keys trims the line scan before the one unavoidable shuffle of line rows.
 2. Aggregate at the lowest grain the job needs (retailer, product, month...).
    Partial aggregation runs before the shuffle, so a hot retailer or product
    becomes one row per task instead of a skewed partition.
