@@ -143,8 +143,9 @@ def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = DECLARE
         stack = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(rs))
         parts.append(counts.selectExpr(f"stack({len(rs)}, {stack}) AS (rule, violations)",
                                        ).selectExpr("rule", f"'{table}' AS table_name", "CAST(violations AS BIGINT) AS violations"))
+    per_keys = {}
     for table, key in PRIMARY_KEYS.items():
-        per_key = tables[table].groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        per_key = per_keys[table] = tables[table].groupBy(key).agg(F.count(F.lit(1)).alias("n"))
         parts.append(per_key.selectExpr(f"'primary_key_unique_{key}' AS rule", f"'{table}' AS table_name",
                                         "CAST(count_if(n > 1) AS BIGINT) AS violations"))
     for table, col in UNIQUE:
@@ -160,7 +161,11 @@ def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = DECLARE
         else:
             refs = (tables[child].select(col).filter(F.col(col).isNotNull())
                     .groupBy(col).agg(F.count(F.lit(1)).alias("_refs")))
-        orphans = refs.join(tables[parent].select(F.col(pkey).alias(col)), col, "left_anti")
+        # the parent side is the primary-key aggregate above: already one row per key
+        # and hash-partitioned on it, so the parent table is shuffled once for both checks
+        parent_keys = (per_keys[parent] if PRIMARY_KEYS[parent] == pkey else tables[parent]).select(
+            F.col(pkey).alias(col))
+        orphans = refs.join(parent_keys, col, "left_anti")
         parts.append(orphans.selectExpr(f"'foreign_key_{col}' AS rule", f"'{child}' AS table_name",
                                         "CAST(coalesce(sum(_refs), 0) AS BIGINT) AS violations"))
     out = reduce(DataFrame.unionByName, parts)

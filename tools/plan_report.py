@@ -18,8 +18,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def summarise(plan: str) -> dict:
-    exchanges = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"
-                           r"(?:\(([^,]*))?", plan)
+    lines = plan.splitlines()
+    real = [ln for ln in lines if "Exchange " in ln and "ReusedExchange" not in ln and "BroadcastExchange" not in ln]
+    exchanges = [m.group(1) for ln in real
+                 for m in [re.search(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)", ln)]
+                 if m]
+    reused = sum(1 for ln in lines if "ReusedExchange" in ln)
     scans = []
     for line in plan.splitlines():
         if "FileScan parquet" in line:
@@ -27,9 +31,10 @@ def summarise(plan: str) -> dict:
             schema = re.search(r"ReadSchema: struct<([^>]*)>", line)
             scans.append((table.group(1) if table else "?", schema.group(1) if schema else ""))
     return {
-        "hash": sum(1 for k, _ in exchanges if k == "hashpartitioning"),
-        "range": sum(1 for k, _ in exchanges if k == "rangepartitioning"),
-        "single": sum(1 for k, _ in exchanges if k == "SinglePartition"),
+        "hash": exchanges.count("hashpartitioning"),
+        "range": exchanges.count("rangepartitioning"),
+        "single": exchanges.count("SinglePartition"),
+        "reused": reused,
         "smj": plan.count("SortMergeJoin"),
         "bhj": plan.count("BroadcastHashJoin"),
         "partial": plan.count("partial_"),
@@ -48,16 +53,16 @@ def main(argv):
     spark = get_session("local[8]", shuffle_partitions=200, extra={
         "spark.sql.autoBroadcastJoinThreshold": "20000", "spark.sql.adaptive.enabled": "false"})
     jvm = spark.sparkContext._jvm
-    print("| query | hash shuffles | range | single-partition | sort-merge joins | broadcast joins "
-          "| partial aggs | windows | tables read | lineitem columns |")
-    print("|---|---|---|---|---|---|---|---|---|---|")
+    print("| query | hash shuffles | range | single-partition | reused exchanges | sort-merge joins "
+          "| broadcast joins | partial aggs | windows | tables read | lineitem columns |")
+    print("|---|---|---|---|---|---|---|---|---|---|---|")
     for name, fn in E.queries().items():
         if only and name not in only:
             continue
         df = fn(spark, sf_dir)
         plan = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
         s = summarise(plan)
-        print(f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['smj']} | {s['bhj']} | {s['partial']} "
+        print(f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['reused']} | {s['smj']} | {s['bhj']} | {s['partial']} "
               f"| {s['windows']} | {', '.join(s['tables'])} | {', '.join(s['lineitem_cols']) or '-'} |")
         if only:
             print("\n```\n" + plan + "\n```\n")
