@@ -217,6 +217,12 @@ def assign_surrogate_key(df: DataFrame, order_cols: Sequence[str], id_col: str =
             .drop("_pid", "_pos", "_off"))
 
 
+def next_id_after(existing: DataFrame, id_col: str) -> Column:
+    """``max(existing.id_col) + 1`` (1 for an empty table) as a one-row scalar subquery,
+    to pass as ``start`` so new surrogate keys continue above the current maximum."""
+    return existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long") + 1).scalar()
+
+
 # ---------------------------------------------------------------- R5 .. R8 derivations
 
 TRADE_SHARE_OF_MRP = "0.80"

@@ -186,3 +186,13 @@ def test_bucketed_star_joins_lines_to_orders_without_shuffle(spark, sb, tmp_path
         assert df.agg(F.sum("net_cents")).first()[0] == sum(1000 + 100 * i for i in range(20))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_surrogate_keys_continue_above_existing(spark):
+    existing = spark.createDataFrame([(i, f"z{i}") for i in (1, 2, 5)], "zone_id long, zone_name string")
+    new = spark.createDataFrame([("b",), ("a",)], "zone_name string")
+    out = tables.assign_surrogate_key(new, ["zone_name"], "zone_id", tables.next_id_after(existing, "zone_id"), 2)
+    assert sorted(rows(out, "zone_name", "zone_id")) == [("a", 6), ("b", 7)]
+    empty = existing.limit(0)
+    out = tables.assign_surrogate_key(new, ["zone_name"], "zone_id", tables.next_id_after(empty, "zone_id"), 2)
+    assert sorted(rows(out, "zone_name", "zone_id")) == [("a", 1), ("b", 2)]
