@@ -41,13 +41,17 @@ def main() -> int:
         if name in qs:
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-    best, cold = {}, {}
+    best, cold, failed = {}, {}, {}
     for name, fn in qs.items():
         times = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - t0)
+        try:
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                times.append(time.perf_counter() - t0)
+        except Exception as e:  # noqa: BLE001 - record and keep measuring the others
+            failed[name] = str(e).splitlines()[0][:200]
+            continue
         cold[name] = round(times[0], 3)
         best[name] = round(min(times), 3)
 
@@ -64,6 +68,8 @@ def main() -> int:
         "runs": runs,
         "spark": spark.version,
     }
+    if failed:
+        out["failed"] = failed
     print(json.dumps(out))
     spark.stop()
     return 0
