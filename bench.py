@@ -1,4 +1,4 @@
-"""Benchmark: run every registered query on $BENCH_SF_DIR with local[$BENCH_CPUS].
+"""Benchmark: run every query of the library on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
 Prints one JSON line:
   {"metric": "total_query_seconds", "value": <sum of per-query best>, "unit": "sec",
@@ -28,11 +28,11 @@ def main() -> int:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from salesnet.session import get_session
-    import __spark_entry__ as E
+    from salesnet.plans.registry import all_queries
 
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(4, cpus * 2)))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=parts)
-    every = E.queries()
+    every = all_queries()
     qs = {k: v for k, v in every.items() if k in only} if only else every
 
     # JVM / JIT warm-up, not timed.

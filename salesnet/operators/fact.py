@@ -4,8 +4,7 @@ Plan shape used by every job, chosen for large inputs:
 
 1. Lines meet the orders of the window: ``order_lines`` (line grain, for
    product-level jobs) or ``order_totals`` (additive per-order totals, for
-   retailer-level jobs; pre-aggregated per order before the join when the
-   orders are too big to broadcast).  The window filter is pushed into the
+   retailer-level jobs; pre-aggregated per order before the join).  The window filter is pushed into the
    orders scan, and at scale the runtime bloom filter of the window's order
    keys trims the line scan before the one unavoidable shuffle of line rows.
 2. Aggregate at the lowest grain the job needs (retailer, product, month...).
@@ -66,57 +65,20 @@ ORDER_MEASURES = {
     "lines": lambda: F.count(F.lit(1)),
     "promoted_lines": lambda: F.count_if(F.col("is_promoted")),
 }
-# The same measures on a single line (summing them gives the aggregates above).
-LINE_MEASURES = {
-    "net_cents": lambda: F.col("net_cents"),
-    "lines": lambda: F.lit(1).cast("long"),
-    "promoted_lines": lambda: F.col("is_promoted").cast("long"),
-}
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (from file sizes; no job is run),
-    or -1 where the session does not expose it (e.g. a Spark Connect client)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: plan for large data
-        return -1
-
-
-def broadcast_limit(spark) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: broadcasting off or unknown)."""
-    try:
-        return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    except Exception:  # noqa: BLE001
-        return -1
-
-
 def order_totals(star: Star, period: Period | None = None, month: bool = False,
                  measures=("net_cents",)) -> DataFrame:
     """Additive line totals (``measures``) with the retailer, date and [month] of
     their order, for the orders of ``period``.  Callers only SUM the measures.
 
-    The plan is chosen from the planner's size estimate of the order side:
-
-    * orders small enough to broadcast: one row per line, joined map-side to
-      the broadcast orders, so line rows never shuffle and the caller's
-      aggregate is the first one (partial before its shuffle);
-    * otherwise (the large-data case) eager aggregation: lines are reduced to
-      one row per order *before* the order join.  Lines of an order are stored
-      together, so the partial aggregate collapses them inside each scan task and
-      the shuffle on the order key -- the biggest one of every retailer-grain
-      job -- carries about one row per order instead of one per line; the final
-      aggregate's partitioning is the one the join needs, so it adds no exchange.
-
-    Both plans compute the same exact sums.  Without a size estimate the large-data
-    plan is used.
+    Lines are reduced to one row per order *before* the order join.  Lines of an
+    order are stored together, so the partial aggregate collapses them inside each
+    scan task and the shuffle on the order key -- the biggest one of every
+    retailer-grain job -- carries about one row per order instead of one per line;
+    the final aggregate's partitioning is the one the join needs, so it adds no
+    exchange.  Whether the orders are broadcast is left to the planner and AQE.
     """
     orders = orders_in(star, period, month)
     aggs = [ORDER_MEASURES[m]().alias(m) for m in measures]
-    limit = broadcast_limit(orders.sparkSession)
-    if 0 <= estimated_bytes(orders) <= limit:
-        lines = star.items().select("order_id", *[LINE_MEASURES[m]().alias(m) for m in measures])
-        return lines.join(orders, "order_id")
     per_order = star.items().groupBy("order_id").agg(*aggs)
     return per_order.join(orders, "order_id")
 

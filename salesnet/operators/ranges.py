@@ -43,3 +43,11 @@ def range_attach(facts: DataFrame, segments: DataFrame, key: str, at: str, keep:
     seg = segments.select(F.col(key).alias("_k"), "seg_start", "seg_end", *keep)
     cond = (F.col(key) == F.col("_k")) & F.col(at).between(F.col("seg_start"), F.col("seg_end"))
     return facts.join(seg, cond, "left").drop("_k", "seg_start", "seg_end")
+
+
+def day_attach(facts: DataFrame, segments: DataFrame, key: str, at: str, keep: Sequence[str]) -> DataFrame:
+    """``range_attach`` for DATE segments as an equi-join: each segment is listed once per
+    day (segments are disjoint, so a key has one row per day at most) and facts are
+    hashed on (key, day) instead of on the few values of the key."""
+    days = segments.select(F.col(key).alias("_k"), F.explode(F.sequence("seg_start", "seg_end")).alias("_day"), *keep)
+    return facts.join(days, (F.col(key) == F.col("_k")) & (F.col(at) == F.col("_day")), "left").drop("_k", "_day")

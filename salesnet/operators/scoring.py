@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesnet.functions.scalar import DEC, dec_round, safe_div
@@ -17,15 +17,15 @@ def minmax_score(df: DataFrame, specs: Mapping[str, tuple[str, bool]], scale: in
     when inverted; min and max are over all rows of ``df``.  A constant column
     has no spread and scores NULL.
 
-    ``df`` holds one row per entity of a dimension (e.g. distributors), so the
-    bounds are unpartitioned MIN/MAX windows over those rows: one pass over an
-    already-aggregated table, with no cross join and no second run of the plan
-    that produced ``df`` (a scalar subquery would recompute it).
+    The bounds are one aggregate row (partial MIN/MAX in every task) read as a scalar
+    subquery, so no task sees all entities; the shuffles below ``df`` are shared by
+    both branches.
     """
     out = df
-    everything = Window.partitionBy()
+    bounds = df.agg(F.struct(*[f(src).alias(f"{k}_{name}") for name, (src, _) in specs.items()
+                               for k, f in (("lo", F.min), ("hi", F.max))]).alias("b")).scalar()
     for name, (src, invert) in specs.items():
-        lo, hi = F.min(src).over(everything), F.max(src).over(everything)
+        lo, hi = bounds[f"lo_{name}"], bounds[f"hi_{name}"]
         num = (hi - F.col(src)) if invert else (F.col(src) - lo)
         out = out.withColumn(name, dec_round(safe_div(num * DEC(f"{scale}.0"), hi - lo)))
     return out

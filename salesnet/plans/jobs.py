@@ -12,12 +12,14 @@ DOUBLE; sorts happen once, at the output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesnet.functions.scalar import DEC, dec_round, from_cents, money, safe_pct
 from salesnet.operators import (
-    cohort_retention, consecutive, decline_flags, geography, group_mean, lag_change, latest_value,
+    cohort_retention, consecutive, in_period, decline_flags, geography, group_mean, lag_change, latest_value,
     minmax_score, order_lines, order_totals, pairwise_corr, rank_within, rolling_mean,
     share_of_total, tier_label, top_n_per_group, weighted_sum, with_geography, with_products,
     without_activity,
@@ -79,23 +81,25 @@ def top_skus_by_units(star: Star, period: Period = DEFAULT_PERIOD, n: int = 10)
             .select("sku_name", "category", "brand", "total_units_sold"))
 
 
-def inactive_entities(star: Star, days: int = 60, entity: str = "distributor") -> DataFrame:
+def inactive_entities(star: Star, days: int = 60, entity: str = "distributor", as_of: dt.date | None = None) -> DataFrame:
     """Entities with no order in ``(max_date - days, max_date]``; no period window.
 
-    ``max_date`` is a one-row scalar subquery over the order dates.  Entities
-    without retailers or orders count as inactive.  ``entity`` is
+    ``max_date`` is ``as_of``, or else the last order date, read first (one value), so
+    that the window reaches the order scan as literals.  Entities without retailers or
+    orders count as inactive.  ``entity`` is
     ``distributor`` (the original question) or ``retailer``.
     """
-    last = star.sales_orders.agg(F.max("order_date")).scalar()
+    last = as_of or star.sales_orders.agg(F.max("order_date")).first()[0] or dt.date(1970, 1, 1)
+    one = dt.timedelta(days=1)
     # distinct retailer ids: a partial aggregate, so a retailer with many recent orders is one row per task
-    recent = star.sales_orders.filter(
-        (F.col("order_date") > F.date_sub(last, days)) & (F.col("order_date") <= last)).select("retailer_id").distinct()
+    recent = in_period(star.sales_orders, "order_date", last - (days - 1) * one, last + one).select("retailer_id").distinct()
     if entity == "retailer":
         people = geography(star, ["retailer_name", "channel_type", "distributor_name", "zone_name"])
         return (without_activity(people, recent, "retailer_id")
                 .select("retailer_id", "retailer_name", "channel_type", "distributor_name", "zone_name")
                 .orderBy("zone_name", "distributor_name", "retailer_name", "retailer_id"))
-    active = recent.join(star.retailers.select("retailer_id", "distributor_id"), "retailer_id").select("distributor_id")
+    active = (recent.join(star.retailers.select("retailer_id", "distributor_id"), "retailer_id")
+              .select("distributor_id").distinct())
     dists = star.distributors.join(star.zones, "zone_id").select("distributor_id", "distributor_name", "zone_name", "tier")
     return without_activity(dists, active, "distributor_id").orderBy("zone_name", "tier", "distributor_name")
 
@@ -139,11 +143,15 @@ def underperforming_distributors(star: Star, period: Period = DEFAULT_PERIOD) ->
     """Distributors strictly below their zone's mean revenue.
 
     As in the question: revenue is rounded to 2 dp first, the zone mean is the
-    unrounded mean of those rounded values, and the comparison uses both as they are.
+    unrounded mean of those rounded values.  The comparison is made without the
+    quotient, revenue x distributors < zone total, so it is exact.
     """
-    rev = distributor_totals(star, period).withColumn("rev_dec", dec_round(F.col("revenue")))
-    with_mean = group_mean(rev, "rev_dec", ["zone_name"], "zone_mean")
-    return (with_mean.filter(F.col("rev_dec").cast("decimal(38,6)") < F.col("zone_mean").cast("decimal(38,6)"))
+    rev = distributor_totals(star, period).withColumn("rev_dec", dec_round(F.col("revenue")).cast("decimal(24,2)"))
+    zone = Window.partitionBy("zone_name")
+    with_mean = (group_mean(rev, "rev_dec", ["zone_name"], "zone_mean")
+                 .withColumn("_zone_total", F.sum("rev_dec").over(zone)).withColumn("_zone_n", F.count(F.lit(1)).over(zone)))
+    below = F.col("rev_dec") * F.col("_zone_n").cast("decimal(10,0)") < F.col("_zone_total")
+    return (with_mean.filter(below)
             .select("zone_name", "distributor_name",
                     F.col("rev_dec").cast("double").alias("distributor_revenue"),
                     money(F.col("zone_mean")).alias("zone_avg_revenue"),
@@ -224,9 +232,11 @@ def sku_share_of_category(star: Star, period: Period = DEFAULT_PERIOD) -> DataFr
     per_product = product_totals(star, period).select("product_id", "revenue")
     per_sku = (with_products(per_product, star, ["category", "sku_name"])
                .groupBy("category", "sku_name").agg(F.sum("revenue").alias("revenue")))
-    return (share_of_total(per_sku, "revenue", by=["category"], out="share")
+    # a category may hold any number of SKUs: its total is an aggregate joined back, not a window
+    totals = per_sku.groupBy("category").agg(F.sum("revenue").alias("_total"))
+    return (per_sku.join(totals, "category")
             .select("category", "sku_name", money(F.col("revenue")).alias("sku_revenue"),
-                    money(F.col("share")).alias("category_revenue_percentage"))
+                    money(safe_pct(F.col("revenue"), F.col("_total"))).alias("category_revenue_percentage"))
             .orderBy("category", F.desc("category_revenue_percentage")))
 
 
@@ -236,7 +246,7 @@ def never_promoted_retailers(star: Star) -> DataFrame:
     promoted_orders = star.items().filter(F.col("is_promoted")).select("order_id").distinct()
     buyers = star.sales_orders.select("order_id", "retailer_id").join(promoted_orders, "order_id", "left_semi")
     people = geography(star, ["retailer_name", "channel_type", "distributor_name", "zone_name"])
-    return (without_activity(people, buyers.select("retailer_id"), "retailer_id")
+    return (without_activity(people, buyers.select("retailer_id").distinct(), "retailer_id")
             .select("retailer_id", "retailer_name", "channel_type", "distributor_name", "zone_name")
             .orderBy("zone_name", "distributor_name", "retailer_name"))
 

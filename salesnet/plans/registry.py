@@ -14,20 +14,18 @@ from salesnet.sources.tpch import TPCH_DOMAINS, cost_ratio, tpch_star
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_STARS: dict = {}
+_REPLACED: dict = {}
 
 
 def star_for(spark: SparkSession, sf_dir: str):
-    """The (lazy) star mapping of ``sf_dir``, shared by queries of one session."""
-    key = (id(spark), id(spark.sparkContext), sf_dir)
-    if key not in _STARS:
-        _STARS[key] = tpch_star(spark, sf_dir)
-    return _STARS[key]
+    """The (lazy) star mapping of ``sf_dir``, built anew for each call so that it sees the
+    files of the folder as they are now; a star set by ``use_star`` takes its place."""
+    return _REPLACED.get((spark.sparkContext.applicationId, sf_dir)) or tpch_star(spark, sf_dir)
 
 
 def use_star(spark: SparkSession, sf_dir: str, star) -> None:
     """Make the registered queries of ``sf_dir`` run on ``star`` (e.g. a loaded star schema)."""
-    _STARS[(id(spark), id(spark.sparkContext), sf_dir)] = star
+    _REPLACED[(spark.sparkContext.applicationId, sf_dir)] = star
 
 
 def _on_star(fn, **kw) -> Query:
@@ -43,6 +41,7 @@ def analytic_queries() -> dict[str, Query]:
         "revenue_by_zone": _on_star(jobs.revenue_by_zone),
         "top_skus_by_units": _on_star(jobs.top_skus_by_units),
         "inactive_distributors": _on_star(jobs.inactive_entities, entity="distributor"),
+        "inactive_distributors_last_day": _on_star(jobs.inactive_entities, entity="distributor", days=1),
         "inactive_retailers": _on_star(jobs.inactive_entities, entity="retailer"),
         "channel_revenue_split": _on_star(jobs.channel_revenue_split),
         "weighted_margin_by_category": _on_star(jobs.weighted_margin_by_category),
@@ -75,6 +74,7 @@ def _repriced(star):
 def table_queries() -> dict[str, Query]:
     return {
         "check_constraints": _on_star(tables.check_constraints, domains=TPCH_DOMAINS),
+        "check_implied_rules": _on_star(tables.check_implied_rules),
         "row_counts": _on_star(tables.row_counts),
         "promotion_coverage": _on_star(tables.promotion_coverage),
         "orders_to_append": _on_star(tables.orders_to_append, loaded_until=dt.date(1998, 7, 1)),

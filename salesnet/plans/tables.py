@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from salesnet import schemas
 from salesnet.functions.scalar import DEC, money, safe_pct
-from salesnet.operators import order_lines, order_totals, range_attach, resolve_overlaps, with_products
+from salesnet.operators import day_attach, order_lines, order_totals, resolve_overlaps, with_products
 from salesnet.params import DEFAULT_PERIOD, Period
 from salesnet.sources.star import TABLE_NAMES, Star
 
@@ -101,6 +101,23 @@ IMPLIED_LINE_RULES = [
 ]
 
 
+def check_implied_rules(star: Star) -> DataFrame:
+    """R2, the rules the writer implies: (rule, table_name, violations) from one pass over
+    the lines with their order date, product category and promotion."""
+    lines = order_lines(star, None, promotion_id=True).withColumn("_alone", -1 - F.pmod(F.xxhash64("order_id"), F.lit(1024)))
+    lines = with_products(lines, star, ["category"]).withColumn("_key", F.coalesce("promotion_id", "_alone"))
+    promo = star.promotions.select(F.col("promotion_id").alias("_promotion"), F.col("category").alias("_category"),
+                                   "start_date", "end_date")
+    seen = lines.join(promo, F.col("_key") == F.col("_promotion"), "left")
+    rules = [*IMPLIED_LINE_RULES,
+             ("promotion_category_is_product_category", "_promotion IS NULL OR _category = category"),
+             ("order_date_inside_promotion", "_promotion IS NULL OR order_date BETWEEN start_date AND end_date")]
+    counts = seen.selectExpr(*[f"count_if(NOT ({pred})) AS c{i}" for i, (_, pred) in enumerate(rules)])
+    stack = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(rules))
+    return counts.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, violations)").selectExpr(
+        "rule", "'sales_order_items' AS table_name", "CAST(violations AS BIGINT) AS violations")
+
+
 def promotion_references(star: Star) -> DataFrame:
     """(promotion_id, _refs): how many lines reference each promotion.
 
@@ -194,27 +211,36 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str]) ->
     return first.join(target.select(*keys), keys, "left_anti")
 
 
+KEY_SAMPLE = 64  # sampled keys per bucket boundary
+
+
 def assign_surrogate_key(df: DataFrame, order_cols: Sequence[str], id_col: str = "id",
                          start: int | Column = 1, partitions: int | None = None) -> DataFrame:
     """Dense ids ``start, start+1, ...`` following the total order ``order_cols``.
 
-    Range-partition and sort by ``order_cols``, count rows per partition, turn
-    the counts into offsets (a table with one row per partition, broadcast) and
-    add each row's position inside its partition.  No step gathers the rows into
-    one task.  ``order_cols`` must be unique, so recomputation after an executor
-    loss assigns the same ids.
+    Boundary values, read once from a bounded sample, cut the order into buckets; a
+    row's bucket is a comparison with these literals, so every branch of the plan
+    agrees on it.  Rows are counted per bucket, the counts become offsets (one row per
+    bucket, broadcast), and a row adds its position in its own bucket.  No step gathers
+    the rows into one task.  ``order_cols`` must be unique, so recomputation after an
+    executor loss assigns the same ids.
     """
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = df.repartitionByRange(int(n), *order_cols).sortWithinPartitions(*order_cols)
-    tagged = (ordered.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(*order_cols)
+    sample = sorted(tuple(r) for r in keys.orderBy(F.xxhash64(*order_cols)).limit(KEY_SAMPLE * n).collect())
+    cuts = sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
+    row = F.struct(*order_cols)
+    bounds = [F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order_cols, cut)]) for cut in cuts]
+    bucket = F.size(F.filter(F.array(*bounds), lambda b: b <= row)) if bounds else F.lit(0)
+    tagged = df.withColumn("_bucket", bucket)
+    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     base = start if isinstance(start, Column) else F.lit(start)
-    return (tagged.join(F.broadcast(offsets), "_pid")
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols)) - 1
+    return (tagged.withColumn("_pos", inside).join(F.broadcast(offsets), "_bucket")
             .withColumn(id_col, (base + F.col("_off") + F.col("_pos")).cast("long"))
-            .drop("_pid", "_pos", "_off"))
+            .drop("_bucket", "_pos", "_off"))
 
 
 def next_id_after(existing: DataFrame, id_col: str) -> Column:
@@ -244,10 +270,10 @@ def best_promotion_segments(promotions: DataFrame) -> DataFrame:
 
 
 def attach_promotion(lines: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Left range join of lines (with ``category`` and ``order_date``) to the
+    """Left join by day of lines (with ``category`` and ``order_date``) to the
     promotion valid for their category on their date; every line is kept, at
     most one promotion each (inclusive ends; NULL-category campaigns never match)."""
-    return range_attach(lines, best_promotion_segments(promotions), "category", "order_date",
+    return day_attach(lines, best_promotion_segments(promotions), "category", "order_date",
                         ["promotion_id", "discount_percent"])
 
 
@@ -312,11 +338,10 @@ def orders_to_append(star: Star, loaded_until: dt.date, batch: Period = DEFAULT_
     return insert_if_absent(target, new, ["order_id"])
 
 
-def order_sequence(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
-    """R4 on the orders of a window: dense sequence numbers by (order_date, order_id)."""
-    orders = star.sales_orders.filter((F.col("order_date") >= F.lit(period.start)) & (F.col("order_date") < F.lit(period.end)))
-    return assign_surrogate_key(orders, ["order_date", "order_id"], id_col="sequence_no").select(
-        "order_id", "order_date", "sequence_no")
+def order_sequence(star: Star) -> DataFrame:
+    """R4 on all orders: dense sequence numbers by (order_date, order_id)."""
+    return assign_surrogate_key(star.sales_orders, ["order_date", "order_id"], id_col="sequence_no").select(
+        "order_id", "retailer_id", "order_date", "sequence_no")
 
 
 def repriced_products(star: Star, cost_ratio: Column) -> DataFrame:
@@ -336,8 +361,8 @@ def _weighted_totals(priced: DataFrame, keys: Sequence[str]) -> DataFrame:
             .orderBy(*keys))
 
 
-def promotion_attach_summary(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
-    """R6 on the lines of a window: lines and list-price amounts per attached promotion
+def promotion_attach_summary(star: Star, period: Period | None = None) -> DataFrame:
+    """R6 on all lines (or those of a window): lines and list-price amounts per attached promotion
     (NULL promotion = no valid campaign).
 
     Lines with the same (product, date, quantity) get the same promotion and the
@@ -349,11 +374,12 @@ def promotion_attach_summary(star: Star, period: Period = DEFAULT_PERIOD) -> Dat
               .agg(F.count(F.lit(1)).alias("n")))
     lines = with_products(groups, star, ["category", "trade_price"])
     attached = line_financials(attach_promotion(lines, star.promotions))
-    return _weighted_totals(attached, ["category", "promotion_id"])
+    # the id as text: a column with NULLs that reads the same in every client
+    return _weighted_totals(attached.withColumn("promotion_id", F.col("promotion_id").cast("string")), ["category", "promotion_id"])
 
 
-def list_price_financials(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
-    """R7 on the lines of a window: gross / discount / net re-priced at the product's
+def list_price_financials(star: Star, period: Period | None = None) -> DataFrame:
+    """R7 on all lines (or those of a window): gross / discount / net re-priced at the product's
     trade price with the line's own promotion percentage (0 when not promoted).
 
     Lines with the same (product, quantity, promotion) price identically, so they are
@@ -366,13 +392,18 @@ def list_price_financials(star: Star, period: Period = DEFAULT_PERIOD) -> DataFr
     else:
         groups = (order_lines(star, period, promotion_id=True).groupBy("product_id", "quantity_units", "promotion_id")
                   .agg(F.count(F.lit(1)).alias("n")))
-    groups = groups.join(star.promotions.select("promotion_id", "discount_percent"), "promotion_id", "left")
+    # most lines have no promotion: they get keys of their own that match nothing, so
+    # that they are not one hot NULL key
+    alone = -1 - F.pmod(F.xxhash64("product_id", "quantity_units"), F.lit(1024))
+    percent = star.promotions.select(F.col("promotion_id").alias("_promotion"), "discount_percent")
+    groups = (groups.withColumn("_key", F.coalesce("promotion_id", alone))
+              .join(percent, F.col("_key") == F.col("_promotion"), "left").drop("_key", "_promotion"))
     priced = line_financials(with_products(groups, star, ["category", "trade_price"]))
     return _weighted_totals(priced, ["category"])
 
 
-def distributor_targets(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
-    """R8 with data-derived quotas: each zone's line count in the window, split over
+def distributor_targets(star: Star, period: Period | None = None) -> DataFrame:
+    """R8 with data-derived quotas: each zone's line count, split over
     its distributors by tier weight."""
     geo = star.retailers.select("retailer_id", "distributor_id").join(
         star.distributors.select("distributor_id", "zone_id"), "distributor_id")

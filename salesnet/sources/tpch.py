@@ -19,7 +19,7 @@ only planned when a job asks for the promotion id (``Star.items(True)``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesnet import schemas
@@ -27,8 +27,8 @@ from salesnet.functions.scalar import DEC, from_cents
 from salesnet.sources.star import Star
 
 # ---- Fixed values of the mapping --------------------------------------------
-# Cost-to-trade price ratio per product category (p_type), in this order; the
-# position in the list (1..6) is also the category code used in promotion ids.
+# Cost-to-trade price ratio per product category (p_type); the
+# code used in promotion ids is the category's place among the parts' categories by name.
 CATEGORY_COST_RATIO = [
     ("ECONOMY", "0.78"),
     ("STANDARD", "0.76"),
@@ -43,6 +43,11 @@ TRADE_TO_MRP = "0.80"
 TIER_RULE = {0: "A", 1: "B", 2: "B", 3: "C", 4: "C"}
 # A line is on promotion when its discount is one of these percentages.
 PROMOTION_TIERS = [8, 9, 10]
+# Campaign of each tier: from and to, in hundredths of the order history; a category's
+# campaigns start CAMPAIGN_SHIFT days later than those of the category before it.
+# Campaigns overlap, and days at both ends have none.
+CAMPAIGN_SPAN = {8: (0, 55), 9: (45, 80), 10: (15, 35)}
+CAMPAIGN_SHIFT = 30
 # Market segments of the customer table (the mapping's channel domain).
 MARKET_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 # -----------------------------------------------------------------------------
@@ -79,20 +84,25 @@ def _case(col: Column, mapping) -> Column:
 
 
 def cost_ratio(category: Column) -> Column:
-    return _case(category, [(k, DEC(v)) for k, v in CATEGORY_COST_RATIO])
+    """Ratio of the category; a category without one is an error (NULL stays NULL)."""
+    known = _case(category, [(k, DEC(v)) for k, v in CATEGORY_COST_RATIO])
+    unknown = F.raise_error(F.concat(F.lit("no cost ratio for category "), category)).cast("decimal(3,2)")
+    return known.when(category.isNotNull(), unknown)
 
 
-def category_code(category: Column) -> Column:
-    return _case(category, [(k, F.lit(i + 1)) for i, (k, _) in enumerate(CATEGORY_COST_RATIO)])
+def category_codes(part: DataFrame) -> DataFrame:
+    """(category, category_code): the categories that the parts have, numbered by name."""
+    cats = part.select(F.col("p_type").alias("category")).filter(F.col("p_type").isNotNull()).distinct()
+    return cats.withColumn("category_code", F.row_number().over(Window.orderBy("category")))
 
 
 def tier_of(nationkey: Column) -> Column:
     return _case(nationkey % 5, sorted(TIER_RULE.items()))
 
 
-def promotion_id(category: Column, pct: Column) -> Column:
+def promotion_id(code: Column, pct: Column) -> Column:
     """Category-scoped promotion id: category code x 100 + percent (e.g. 108)."""
-    return (category_code(category) * 100 + pct).cast("long")
+    return (code * 100 + pct).cast("long")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -148,21 +158,26 @@ def tpch_star(spark: SparkSession, sf_dir: str) -> Star:
             F.col("o_orderdate").cast("date").alias("order_date"))
 
     def promotions():
-        # One campaign per (category, tier), valid over the whole order history:
-        # categories from a tiny distinct aggregate of the part table, dates from
-        # one-row scalar subqueries over the order dates (pruned when unused).
+        # One campaign per (category, tier): categories from a tiny distinct aggregate
+        # of the part table, dates from one-row scalar subqueries over the order dates
+        # (pruned when unused).
         first_day = star.sales_orders.agg(F.min("order_date")).scalar()
         last_day = star.sales_orders.agg(F.max("order_date")).scalar()
         tiers = F.explode(F.array(*[F.lit(p) for p in PROMOTION_TIERS]))
-        cats = part.select(F.col("p_type").alias("category")).distinct()
-        return cats.select("category", tiers.alias("pct")).select(
-            promotion_id(F.col("category"), F.col("pct")).alias("promotion_id"),
+        days = F.datediff(last_day, first_day)
+
+        def day(end: int) -> Column:
+            share = _case(F.col("pct"), [(p, F.lit(span[end])) for p, span in CAMPAIGN_SPAN.items()])
+            return F.date_add(first_day, (F.floor(days * share / 100) + CAMPAIGN_SHIFT * (F.col("category_code") - 1)).cast("int"))
+
+        return category_codes(part).select("category", "category_code", tiers.alias("pct")).select(
+            promotion_id(F.col("category_code"), F.col("pct")).alias("promotion_id"),
             F.concat(F.col("category"), F.lit(" "), F.col("pct").cast("string"),
                      F.lit("% offer")).alias("promotion_name"),
             F.col("category"),
             F.col("pct").cast(schemas.PERCENT).alias("discount_percent"),
-            first_day.alias("start_date"),
-            last_day.alias("end_date"))
+            day(0).alias("start_date"),
+            day(1).alias("end_date"))
 
     # Line money in exact integer cents (prices are on the cent grid): the
     # aggregation hot path sums BIGINTs instead of wide DECIMALs; the declared
@@ -173,7 +188,7 @@ def tpch_star(spark: SparkSession, sf_dir: str) -> Star:
     # through a BigDecimal for every double
     gross_c = "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)"
     pct_c = "CAST(floor(l_discount * 100 + 0.5) AS INT)"
-    promoted = F.col("discount_pct") >= F.lit(PROMOTION_TIERS[0])
+    promoted = F.col("discount_pct").isin(PROMOTION_TIERS)
 
     def base():
         return lineitem.select(
@@ -196,19 +211,24 @@ def tpch_star(spark: SparkSession, sf_dir: str) -> Star:
                              "gross_cents", "discount_cents", "net_cents", "discount_pct",
                              promoted.alias("is_promoted"), *decimals())
 
+    def coded_parts() -> DataFrame:
+        codes = category_codes(part).withColumnRenamed("category", "p_type")
+        return (part.select(F.col("p_partkey").alias("product_id"), "p_type").join(codes, "p_type")
+                .select("product_id", "category_code"))
+
     def promotion_ids(lines: DataFrame) -> DataFrame:
         # The category comes from the part row; applied to lines that were
         # already filtered / joined by the job, so only those rows meet the part table.
-        typed = lines.join(part.select(F.col("p_partkey").alias("product_id"), "p_type"), "product_id", "left")
+        typed = lines.join(coded_parts(), "product_id", "left")
         return typed.withColumn(
-            "promotion_id", F.when(F.col("is_promoted"), promotion_id(F.col("p_type"), F.col("discount_pct")))
-        ).drop("p_type")
+            "promotion_id", F.when(F.col("is_promoted"), promotion_id(F.col("category_code"), F.col("discount_pct")))
+        ).drop("category_code")
 
     def sales_order_items():
-        typed = base().join(part.select("p_partkey", "p_type"), F.col("product_id") == F.col("p_partkey"), "left")
+        typed = base().join(coded_parts(), "product_id", "left")
         return typed.select(
             "order_item_id", "order_id", "product_id",
-            F.when(promoted, promotion_id(F.col("p_type"), F.col("discount_pct"))).alias("promotion_id"),
+            F.when(promoted, promotion_id(F.col("category_code"), F.col("discount_pct"))).alias("promotion_id"),
             "quantity_units", *decimals())
 
     star = Star(zones=zones, distributors=distributors, retailers=retailers, products=products,

@@ -8,10 +8,9 @@ micro-batch and appended to ``target_dir`` after an anti join on the table key
 nothing twice.  The stream's progress is checkpointed in the shared
 checkpoint folder, so the job resumes after a driver or executor loss.
 
-When the target is partitioned (``partition_col``, e.g. an order month), the
-anti join only reads the target partitions present in the micro-batch: their
-values are a tiny distinct aggregate of the batch, turned into a partition
-filter on the target scan.
+The anti join reads the key column of the whole target, also where the target is
+partitioned (``partition_col``): a key may be redelivered with another partition
+value.
 """
 
 from __future__ import annotations
@@ -21,7 +20,6 @@ import os
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
@@ -53,10 +51,6 @@ def append_new_keys(batch: DataFrame, target_dir: str, schema: T.StructType, key
     if target is None:
         new = insert_if_absent(batch.limit(0), batch, keys)
     else:
-        if partition_col:
-            # bounded: one value per partition the batch touches
-            parts = [r[0] for r in batch.select(partition_col).distinct().collect()]
-            target = target.filter(F.col(partition_col).isin(parts))
         new = insert_if_absent(target, batch, keys)
     writer = new.write.mode("append")
     if partition_col:

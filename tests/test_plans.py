@@ -9,11 +9,14 @@ import pytest
 import __spark_entry__ as E
 from oracle_compare import compare, duck
 
+from salesnet.oracle import oracle_sql
+from salesnet.plans.registry import all_queries
+
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = all_queries()
+ORACLE = oracle_sql()
 
 
 def plan_of(df) -> str:

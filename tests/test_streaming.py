@@ -30,6 +30,15 @@ def test_stream_appends_each_key_once(spark, tmp_path):
     assert sorted(r["order_id"] for r in got.collect()) == [1, 2, 3]
 
 
+def test_key_redelivered_in_another_partition(spark, tmp_path):
+    src, dst, ckpt = (str(tmp_path / n) for n in ("incoming", "orders", "ckpt"))
+    for day in ("2025-01-06", "2025-02-06"):
+        _orders(spark, [(2, 11, day)]).write.mode("append").parquet(src)
+        start_idempotent_load(spark, src, dst, ORDERS_WITH_MONTH, ["order_id"], "order_month", ckpt).awaitTermination()
+    got = spark.read.schema(ORDERS_WITH_MONTH).option("basePath", dst).parquet(dst)
+    assert [(r["order_id"], r["order_month"]) for r in got.collect()] == [(2, "2025-01")]
+
+
 def test_default_checkpoint_resumes(spark, tmp_path):
     # Without an explicit location the checkpoint path depends only on (source, target):
     # a second start of the same load sees the first one's progress and appends nothing.
