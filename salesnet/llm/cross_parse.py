@@ -14,7 +14,7 @@ from salesnet.llm.common import held_out, id_remainder, out_batch, pieces, text_
 
 FOLD, HELD = 3, 1
 FIT_DOCS = 120        # documents per language, the smallest by hash
-FIT_CHARS = 350       # characters taken of each of them
+FIT_CHARS = 350       # characters of the passage taken of each of them
 MAX_LANGUAGES = 64    # the most frequent by code of the sample; documented bound of the automata
 CHUNK = 512           # characters parsed in step with the other chunks
 UNKNOWN = "und"
@@ -119,11 +119,13 @@ class CrossParser:
 
 def fit_languages(docs: DataFrame) -> CrossParser:
     """Automata of at most ``FIT_DOCS`` x ``FIT_CHARS`` characters of labelled text per
-    language, from documents outside the held-out fold.  The choice per language is a
-    limit inside the window, applied before the shuffle too."""
+    language, from documents outside the held-out fold.  The passage taken of a document
+    is drawn by a hash over its whole text.  The choice per language is a limit inside
+    the window, applied before the shuffle too."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_remainder("doc_id", FOLD) != HELD))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "t")
-    rows = (known.select("doc_id", "lang", F.substring("text", 1, FIT_CHARS).alias("t"))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.ceil(F.length("text") / FIT_CHARS)))
+    rows = (known.select("doc_id", "lang", F.substring("text", (drawn * FIT_CHARS + 1).cast("int"), F.lit(FIT_CHARS)).alias("t"))
             .withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= FIT_DOCS))
     names = [r[0] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()]
