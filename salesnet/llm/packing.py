@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
-import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,29 +22,51 @@ CACHE_WORDS = 400_000
 _TOKENIZERS: dict = {}
 
 
-class WordCache(dict):
-    """Packed ids of one pre-tokenised word, filled on first use."""
+# Text of these characters only is cut here; the rest keeps to the tokenizer's own cut.
+_PLAIN = re.compile(r"[\t-\r -~\u00a1-\u012f\u0131-\u024f\u2010-\u2027]*")
+_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+_SPACE = re.compile(r"[ \t-\r]+")
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class IdCache(dict):
+    """Packed ids of a string, filled on first use up to ``CACHE_WORDS`` strings."""
+
+    def __init__(self, ids_of):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        # the words the vocabulary's own pre-tokeniser cuts: read from its description
-        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+        self.ids_of = ids_of
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def __missing__(self, key: str) -> bytes:
+        ids = _packed(self.ids_of(key))
         if len(self) < CACHE_WORDS:
-            self[word] = ids
+            self[key] = ids
         return ids
 
+
+class WordCache:
+    """A tokenizer with its ids kept by piece of a word.  No token of this vocabulary
+    reaches over white space, so text that is not cut here is encoded word by word."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.pieces, self.words = IdCache(self._piece), IdCache(self._word)
+
+    def _word(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _piece(self, piece: str) -> list[int]:
+        # printable ASCII bytes are their own byte-level symbols: the model alone gives the ids
+        return [t.id for t in self.model.tokenize(piece)] if piece.isascii() else self._word(piece)
+
     def encode(self, text: str) -> bytes:
-        if "<|" in text:  # may spell a special token, which the tokenizer finds before it cuts
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        # lower case letter by letter: no final sigma
-        return b"".join(map(self.__getitem__, self.cut.findall(text.replace("Σ", "σ").lower())))
+        if "<|" in text or not _PLAIN.fullmatch(text):  # a special token, or letters that need normalising
+            return b"".join(map(self.words.__getitem__, filter(None, _SPACE.split(text))))
+        return b"".join(map(self.pieces.__getitem__, _CUT.findall(text.lower())))
 
 
 def word_cache(path: str) -> WordCache:

@@ -188,6 +188,10 @@ def test_word_cache_equals_the_tokenizer(plain):
     own, cache = Tokenizer.from_file(path), packing.word_cache(path)
     odd = ["", "   x", "İstanbul ǅ ﬁ ΑΣ ΑΣ.", "don't 'S ''ll", "éä", "<|endoftext|> a", "<|END", "½ ² ٣٤ 漢字 😀👍🏽", "a‍b\x00c\x1f\x85d",
            "_a-b__ c's", "ſ K Å", "'ſ x"]
+    rng = np.random.default_rng(3)
+    alphabets = [[chr(i) for i in points] for points in (range(128), range(0x250), range(0x250, 0xD800), [*range(0x300, 0x370), 0x130, 0x3A3, 97, 73, 32])]
+    alphabets.append(list("'sStTmMdDrRvVeElLñÉ_ ²³½ªº1"))
+    odd += ["".join(rng.choice(alphabets[i % 5], 12)) for i in range(3000)]
     for text in [*plain["text"].fillna("").tolist(), *odd]:
         assert np.frombuffer(cache.encode(text), "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, text
 
