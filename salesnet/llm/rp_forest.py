@@ -91,25 +91,26 @@ def _assign(forests):
             for dim in np.unique(lengths):
                 own = np.flatnonzero(lengths == dim)
                 x = _unit(np.array([v[int(i)].as_py() for i in own], dtype=np.float64))
-                seen = [[] for _ in own]  # (tree, leaf) codes of the trees before
+                seen = [[] for _ in own]  # (tree, leaf) codes so far; spill gives a row several leaves of one tree
                 for t, tree in enumerate(forests.value[int(dim)]):
                     rows, leaf = tree.leaves(x)
+                    order = np.lexsort((leaf, rows))
+                    rows, leaf, earlier = rows[order], leaf[order], []
+                    for r, code in zip(rows.tolist(), (leaf | t << 20).tolist()):
+                        earlier.append(tuple(seen[r]))
+                        seen[r].append(code)
                     at = pa.array(own[rows])
-                    earlier = pa.array([seen[r] for r in rows], type=pa.list_(pa.int32()))
                     yield out_batch(schema, tree=np.full(len(rows), t, np.int32), leaf=leaf.astype(np.int32),
                                     class_id=ids.take(at), label=label.take(at), copies=copies.take(at),
-                                    dim=np.full(len(rows), dim, np.int32), v=v.take(at), earlier=earlier)
-                    fresh = [list(s) for s in seen]
-                    for r, leaf_ in zip(rows.tolist(), leaf.tolist()):
-                        fresh[r].append((t << 20) | leaf_)
-                    seen = fresh
+                                    dim=np.full(len(rows), dim, np.int32), v=v.take(at),
+                                    earlier=pa.array(earlier, type=pa.list_(pa.int32())))
 
     return run
 
 
 def _leaf_links(threshold: float):
     """All pairs of one leaf and label, in blocks of rows: per class the copies it is linked
-    to for the first time (no leaf of an earlier tree holds both), and one link to its group."""
+    to for the first time (no leaf before this one, of any tree, holds both), and one link to its group."""
 
     def run(leaf: pd.DataFrame) -> pd.DataFrame:
         leaf = leaf.drop_duplicates("class_id").sort_values("class_id").reset_index(drop=True)
@@ -152,7 +153,7 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, trees
        only thing broadcast.  Every class goes to all leaves it falls into: rows within
        ``SPILL`` of a median take both sides.
     3. Classes of one (tree, leaf, label) are compared by cosine in double precision.
-       A pair that meets in several leaves counts in the first tree where it meets, so a
+       A pair that meets in several leaves counts in the first of them, so a
        task returns one row per class (its new links, one link to its group), not pairs.
     4. Components of the links, joined back to the vectors.
 

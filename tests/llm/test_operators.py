@@ -121,6 +121,26 @@ def test_embeddings_against_brute_force(spark, monkeypatch, leaf):
         assert all(r["component_id"] == comp[r["vec_id"]] and r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("leaf", [4000, 120])
+def test_links_of_planted_clusters_count_once(spark, monkeypatch, leaf):
+    """Near copies meet in many leaves, of one tree (spill) and of several."""
+    monkeypatch.setattr(rp_forest, "LEAF_ROWS", leaf)
+    rng = np.random.default_rng(4)
+    x = [rng.standard_normal((1200, 32))]
+    for size in (2, 3, 40, 200):
+        x.append(rng.standard_normal(32) + 0.2 * rng.standard_normal((size, 32)))
+    x.append(np.repeat(rng.standard_normal((1, 32)), 50, axis=0))
+    x = np.concatenate(x)
+    v = spark.createDataFrame([(int(i), [float(a) for a in x[i]], int(i % 7 == 0)) for i in rng.permutation(len(x))],
+                              "vec_id long, embedding array<float>, label int")
+    links, comp = brute_links(v.collect())
+    got = rp_forest.embedding_components(v).collect()
+    assert sum(links.values()) > 10_000
+    assert all(r["n_links"] <= links[r["vec_id"]] for r in got)
+    assert sum(r["n_links"] for r in got) >= (1.0 if leaf == 4000 else 0.97) * sum(links.values())
+    assert all(r["component_id"] == comp[r["vec_id"]] for r in got)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = dict(components.connected_components(edges, "a", "b").collect())
