@@ -113,23 +113,50 @@ def check_implied_rules(star: Star) -> DataFrame:
              ("promotion_category_is_product_category", "_promotion IS NULL OR _category = category"),
              ("order_date_inside_promotion", "_promotion IS NULL OR order_date BETWEEN start_date AND end_date")]
     counts = seen.selectExpr(*[f"count_if(NOT ({pred})) AS c{i}" for i, (_, pred) in enumerate(rules)])
-    stack = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(rules))
-    return counts.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, violations)").selectExpr(
-        "rule", "'sales_order_items' AS table_name", "CAST(violations AS BIGINT) AS violations")
+    return _stacked(counts, "sales_order_items", [name for name, _ in rules])
 
 
-def promotion_references(star: Star) -> DataFrame:
-    """(promotion_id, _refs): how many lines reference each promotion.
+def _stacked(counts: DataFrame, table: str, names: Sequence[str]) -> DataFrame:
+    """One row of counts ``c0``, ``c1``, ... as rows (rule, table_name, violations)."""
+    stack = ", ".join(f"'{name}', c{i}" for i, name in enumerate(names))
+    return counts.selectExpr(f"stack({len(names)}, {stack}) AS (rule, violations)").selectExpr(
+        "rule", f"'{table}' AS table_name", "CAST(coalesce(violations, 0) AS BIGINT) AS violations")
 
-    Where the source derives the id from the product (``promotion_ids`` hook),
-    the promoted lines are counted per (product, discount) before that join.
+
+def _known(per_key: DataFrame, key: str, flag: str) -> DataFrame:
+    return per_key.select(key, F.lit(True).alias(flag))
+
+
+def _line_rules(lines: DataFrame, rules: list[tuple[str, str]], orders: DataFrame) -> DataFrame:
+    """The row rules of the lines and their order references, from one scan: violations and
+    references are counted per order (a partial aggregate where the lines are read), and the
+    per-order rows meet the order keys."""
+    per_order = lines.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_refs"), *[F.expr(f"count_if(NOT ({pred}))").alias(f"c{i}") for i, (_, pred) in enumerate(rules)])
+    checked = per_order.join(_known(orders, "order_id", "_order"), "order_id", "left")
+    n = len(rules)
+    counts = checked.agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(n)],
+                         F.sum(F.expr("CASE WHEN order_id IS NOT NULL AND _order IS NULL THEN _refs END")).alias(f"c{n}"))
+    return _stacked(counts, "sales_order_items", [*(name for name, _ in rules), "foreign_key_order_id"])
+
+
+def _line_references(star: Star, products: DataFrame, promotions: DataFrame) -> DataFrame:
+    """The product and promotion references of the lines, from one scan.
+
+    Lines are counted per product and what decides the promotion, so the joins see
+    aggregated rows; lines without promotion are one row before the promotion join.
     """
-    if star.promotion_ids is not None:
-        pre = (star.items().filter(F.col("is_promoted"))
-               .groupBy("product_id", "discount_pct", "is_promoted").agg(F.count(F.lit(1)).alias("_refs")))
-        return star.promotion_ids(pre).groupBy("promotion_id").agg(F.sum("_refs").alias("_refs"))
-    return (star.items(promotion_id=True).filter(F.col("promotion_id").isNotNull())
-            .groupBy("promotion_id").agg(F.count(F.lit(1)).alias("_refs")))
+    hook = star.promotion_ids
+    keys = ["product_id", "discount_pct", "is_promoted"] if hook else ["product_id", "promotion_id"]
+    refs = star.items(promotion_id=hook is None).groupBy(*keys).agg(F.count(F.lit(1)).alias("_refs"))
+    refs = refs.join(_known(products, "product_id", "_product"), "product_id", "left").withColumn(
+        "_lost", F.expr("CASE WHEN product_id IS NOT NULL AND _product IS NULL THEN _refs END"))
+    per = ((hook(refs) if hook else refs).groupBy("promotion_id")
+           .agg(F.sum("_refs").alias("_refs"), F.sum("_lost").alias("_lost")))
+    counts = (per.join(_known(promotions, "promotion_id", "_promotion"), "promotion_id", "left")
+              .agg(F.sum("_lost").alias("c0"),
+                   F.sum(F.expr("CASE WHEN promotion_id IS NOT NULL AND _promotion IS NULL THEN _refs END")).alias("c1")))
+    return _stacked(counts, "sales_order_items", ["foreign_key_product_id", "foreign_key_promotion_id"])
 
 
 def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = DECLARED_DOMAINS,
@@ -140,51 +167,39 @@ def check_constraints(star: Star, domains: Mapping[str, Sequence[str]] = DECLARE
     (``count_if(NOT pred)`` per rule); key uniqueness is a grouped count per key
     (partial aggregation before the shuffle, so a hot key is one row per task);
     foreign keys are left anti joins of the non-NULL references (counted per key
-    before the shuffle); a violation count is a number of rows.
+    before the shuffle); a violation count is a number of rows.  The lines are read
+    three times: for their rules and order references, for their product and promotion
+    references, and for their key.
     """
     rules = check_rules(domains)
     if implied:
         rules["sales_order_items"] = rules["sales_order_items"] + IMPLIED_LINE_RULES
     tables = star.tables()
-    # Line rules, the line key and the order / product references only need the
-    # line columns: read them through ``items()``, which avoids the part join a
-    # source may need for the promotion id (the implied rules do use it).
-    tables["sales_order_items"] = star.items(promotion_id=implied)
-    parts: list[DataFrame] = []
+    # Line rules and the line key only need the line columns: read them through
+    # ``items()``, which avoids the part join a source may need for the promotion id
+    # (the implied rules do use it).
+    lines = tables["sales_order_items"] = star.items(promotion_id=implied)
+    per_keys = {table: tables[table].groupBy(key).agg(F.count(F.lit(1)).alias("n")) for table, key in PRIMARY_KEYS.items()}
+    parts = [_line_rules(lines, rules.pop("sales_order_items"), per_keys["sales_orders"]),
+             _line_references(star, per_keys["products"], per_keys["promotions"])]
     for table, rs in rules.items():
-        if not rs:
-            continue
-        # one aggregate pass per table; the rules are SQL predicates, so the pass is
-        # written as SQL expressions: count_if(NOT pred) per rule, then stacked to rows
-        counts = tables[table].selectExpr(*[f"count_if(NOT ({pred})) AS c{i}" for i, (_, pred) in enumerate(rs)])
-        stack = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(rs))
-        parts.append(counts.selectExpr(f"stack({len(rs)}, {stack}) AS (rule, violations)",
-                                       ).selectExpr("rule", f"'{table}' AS table_name", "CAST(violations AS BIGINT) AS violations"))
-    per_keys = {}
+        if rs:
+            counts = tables[table].selectExpr(*[f"count_if(NOT ({pred})) AS c{i}" for i, (_, pred) in enumerate(rs)])
+            parts.append(_stacked(counts, table, [name for name, _ in rs]))
     for table, key in PRIMARY_KEYS.items():
-        per_key = per_keys[table] = tables[table].groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(per_key.selectExpr(f"'primary_key_unique_{key}' AS rule", f"'{table}' AS table_name",
-                                        "CAST(count_if(n > 1) AS BIGINT) AS violations"))
+        parts.append(_stacked(per_keys[table].selectExpr("count_if(n > 1) AS c0"), table, [f"primary_key_unique_{key}"]))
     for table, col in UNIQUE:
         per_val = tables[table].filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(per_val.selectExpr(f"'unique_{col}' AS rule", f"'{table}' AS table_name",
-                                        "CAST(count_if(n > 1) AS BIGINT) AS violations"))
+        parts.append(_stacked(per_val.selectExpr("count_if(n > 1) AS c0"), table, [f"unique_{col}"]))
     for child, col, parent, pkey in FOREIGN_KEYS:
-        # references counted per key first: partial aggregation collapses repeated
-        # references (the lines of an order, of a product) inside each task
-        # before the shuffle; the orphan rows are the sum of the orphan keys' counts
-        if (child, col) == ("sales_order_items", "promotion_id"):
-            refs = promotion_references(star)
-        else:
-            refs = (tables[child].select(col).filter(F.col(col).isNotNull())
-                    .groupBy(col).agg(F.count(F.lit(1)).alias("_refs")))
+        if child == "sales_order_items":
+            continue
+        refs = (tables[child].select(col).filter(F.col(col).isNotNull())
+                .groupBy(col).agg(F.count(F.lit(1)).alias("_refs")))
         # the parent side is the primary-key aggregate above: already one row per key
         # and hash-partitioned on it, so the parent table is shuffled once for both checks
-        parent_keys = (per_keys[parent] if PRIMARY_KEYS[parent] == pkey else tables[parent]).select(
-            F.col(pkey).alias(col))
-        orphans = refs.join(parent_keys, col, "left_anti")
-        parts.append(orphans.selectExpr(f"'foreign_key_{col}' AS rule", f"'{child}' AS table_name",
-                                        "CAST(coalesce(sum(_refs), 0) AS BIGINT) AS violations"))
+        orphans = refs.join(per_keys[parent].select(F.col(pkey).alias(col)), col, "left_anti")
+        parts.append(_stacked(orphans.selectExpr("sum(_refs) AS c0"), child, [f"foreign_key_{col}"]))
     out = reduce(DataFrame.unionByName, parts)
     if only_violated:
         out = out.filter(F.col("violations") > 0)
