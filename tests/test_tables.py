@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from conftest import YEAR, D, d, rows
 from pyspark.sql import functions as F
 
@@ -156,6 +157,27 @@ def test_foreign_key_violations_count_rows(spark, sb):
     assert v == {("sales_order_items", "foreign_key_order_id"): 3}
 
 
+def test_line_references_are_counted_as_rows(spark, sb):
+    sb.promotion(1, "Home Care", 10, "2025-01-01", "2025-02-01")
+    sb.sale(1, "2025-01-05", 10).sale(1, "2025-01-06", 10, promotion_id=1)
+    sb.sale(1, "2025-01-07", 10, promotion_id=7).line(1, 5, product_id=8, promotion_id=7).line(1, 5, product_id=9)
+    v = _violations(tables.check_constraints(sb.build(spark), only_violated=True))
+    assert v == {("sales_order_items", "foreign_key_product_id"): 2, ("sales_order_items", "foreign_key_promotion_id"): 2}
+
+
+def test_line_rules_on_empty_lines(spark, sb):
+    v = _violations(tables.check_constraints(sb.build(spark)))
+    assert v[("sales_order_items", "foreign_key_order_id")] == v[("sales_order_items", "foreign_key_product_id")] == 0
+    assert v[("sales_order_items", "quantity_positive")] == 0
+
+
+@pytest.mark.parametrize("name, most", [("check_constraints", 3)])
+def test_lines_are_scanned_few_times(spark, name, most):
+    from salesnet.plans.registry import all_queries
+    plan = all_queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("l_partkey" in relation for relation in plan.split("Relation [")[1:] if relation.startswith("l_")) <= most
+
+
 def test_export_csv_with_header(spark, sb, tmp_path):
     # R11 / S3
     from salesnet.sources import export_csv
