@@ -6,6 +6,8 @@ from salesnet.functions.scalar import (
     from_cents,
     safe_div,
     safe_pct,
+    ratio_round,
+    pct,
     month_start,
     month_diff,
     month_label,
@@ -15,6 +17,6 @@ from salesnet.functions.scalar import (
 )
 
 __all__ = [
-    "DEC", "dec_round", "money", "to_cents", "from_cents", "safe_div", "safe_pct", "month_start", "month_diff",
+    "DEC", "dec_round", "money", "to_cents", "from_cents", "safe_div", "safe_pct", "ratio_round", "pct", "month_start", "month_diff",
     "month_label", "lakh_label", "signed_pct_label", "growth_class",
 ]

@@ -6,7 +6,8 @@ Rounding rule.  Money and ratios stay DECIMAL until output.  A rounded value is
 ``ROUND(CAST(x AS DECIMAL(38,6)), n)``: the six-digit step makes Spark's exact
 decimal quotients and engines that divide in DOUBLE land on the same digits,
 and differs from a single exact ROUND only for a value less than 5e-7 below a
-tie.  Output columns are then DOUBLE (``money``).
+tie.  Output columns are then DOUBLE (``money``).  A ratio of two exact sums is rounded
+once, by integer division (``ratio_round``).
 """
 
 from __future__ import annotations
@@ -52,6 +53,20 @@ def safe_pct(num: Column, den: Column) -> Column:
     return safe_div(num * DEC("100.0"), den)
 
 
+def ratio_round(num: Column, den: Column, digits: int = 2, times: int = 1) -> Column:
+    """``num * times / den`` rounded once, half away from zero, in integer division: DECIMAL,
+    exact at any size.  NULL for a zero or NULL denominator."""
+    twice = F.abs(F.nullif(den, F.lit(0))) * DEC(2)
+    whole = F.call_function("div", F.abs(num) * DEC(2 * times * 10 ** digits) + F.abs(den), twice)
+    sign = F.when((num < 0) != (den < 0), DEC(-1)).otherwise(DEC(1))
+    return whole.cast("decimal(19,0)") * sign * DEC(Decimal(1).scaleb(-digits))
+
+
+def pct(num: Column, den: Column, digits: int = 2) -> Column:
+    """Exactly rounded percentage, DOUBLE for output columns."""
+    return ratio_round(num, den, digits, 100).cast("double")
+
+
 def month_start(c: Column) -> Column:
     """First day of the month, as DATE."""
     return F.trunc(c, "month")

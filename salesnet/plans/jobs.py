@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesnet.functions.scalar import DEC, dec_round, from_cents, money, safe_pct
+from salesnet.functions.scalar import DEC, dec_round, from_cents, money, pct, ratio_round, safe_pct
 from salesnet.operators import (
     cohort_retention, consecutive, in_period, decline_flags, geography, group_mean, lag_change, latest_value,
     minmax_score, order_lines, order_totals, pairwise_corr, rank_within, rolling_mean,
@@ -120,7 +120,7 @@ def weighted_margin_by_category(star: Star, period: Period = DEFAULT_PERIOD) ->
     per = with_products(units, star, ["category", "trade_price", "cost_price"])
     margin = F.sum((F.col("trade_price") - F.col("cost_price")) * F.col("units"))
     sales = F.sum(F.col("trade_price") * F.col("units"))
-    return (per.groupBy("category").agg(money(safe_pct(margin, sales)).alias("weighted_gross_margin_percentage"))
+    return (per.groupBy("category").agg(pct(margin, sales).alias("weighted_gross_margin_percentage"))
             .orderBy(F.desc("weighted_gross_margin_percentage")))
 
 
@@ -175,7 +175,7 @@ def units_per_retailer(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame
            .groupBy("zone_name", "category")
            .agg(F.sum("units").alias("total_units_sold"), F.count(F.lit(1)).alias("retailer_count")))
     return (out.withColumn("units_sold_per_retailer",
-                           money(F.col("total_units_sold").cast("decimal(38,0)") / F.col("retailer_count")))
+                           ratio_round(F.col("total_units_sold"), F.col("retailer_count")).cast("double"))
             .orderBy("zone_name", F.desc("units_sold_per_retailer")))
 
 
@@ -212,7 +212,7 @@ def promotion_performance(star: Star, period: Period = DEFAULT_PERIOD) -> DataFr
                     money(F.col("gross")).alias("gross_revenue"),
                     money(F.col("disc")).alias("total_discount_given"),
                     money(F.col("net")).alias("net_revenue"),
-                    money(safe_pct(F.col("disc"), F.col("gross"))).alias("effective_discount_pct"))
+                    pct(F.col("disc"), F.col("gross")).alias("effective_discount_pct"))
             .orderBy(F.desc("net_revenue")))
 
 
@@ -223,7 +223,7 @@ def promotion_performance_export(star: Star, period: Period = DEFAULT_PERIOD) ->
                     F.col("discount_percent").cast("double").alias("discount_percent"),
                     money(F.col("net")).alias("net_revenue"),
                     money(F.col("disc")).alias("total_discount"),
-                    money(safe_pct(F.col("disc"), F.col("gross"))).alias("effective_discount_pct"))
+                    pct(F.col("disc"), F.col("gross")).alias("effective_discount_pct"))
             .orderBy(F.desc("net_revenue")))
 
 
@@ -236,7 +236,7 @@ def sku_share_of_category(star: Star, period: Period = DEFAULT_PERIOD) -> DataFr
     totals = per_sku.groupBy("category").agg(F.sum("revenue").alias("_total"))
     return (per_sku.join(totals, "category")
             .select("category", "sku_name", money(F.col("revenue")).alias("sku_revenue"),
-                    money(safe_pct(F.col("revenue"), F.col("_total"))).alias("category_revenue_percentage"))
+                    pct(F.col("revenue"), F.col("_total")).alias("category_revenue_percentage"))
             .orderBy("category", F.desc("category_revenue_percentage")))
 
 
@@ -348,7 +348,7 @@ def distributor_scorecard(star: Star, period: Period = DEFAULT_PERIOD) -> DataFr
     card = rank_within(card, ["zone_name"], [F.desc("total")], out="zone_rank")
     return (card.select("zone_name", "distributor_name", money(F.col("total")).alias("total_revenue"),
                         money(F.col("latest_growth")).alias("latest_mom_growth_percentage"),
-                        money(safe_pct(F.col("promoted"), F.col("lines"))).alias("promotion_participation_rate"),
+                        pct(F.col("promoted"), F.col("lines")).alias("promotion_participation_rate"),
                         "zone_rank")
             .orderBy("zone_name", "zone_rank", "distributor_name"))
 
@@ -379,7 +379,7 @@ def risk_signals(star: Star, period: Period = DEFAULT_PERIOD) -> DataFrame:
     return totals.select(
         "distributor_id", "distributor_name", "zone_name", "total", "consecutive_decline_months",
         dec_round(safe_pct(gap, F.col("zone_mean"))).alias("pct_below_zone_avg"),
-        dec_round(safe_pct(F.col("promoted"), F.col("lines"))).alias("promo_participation_rate"))
+        ratio_round(F.col("promoted"), F.col("lines"), times=100).alias("promo_participation_rate"))
 
 
 def score_risk(signals: DataFrame, weights: dict | None = None, tiers: list | None = None) -> DataFrame:

@@ -57,3 +57,14 @@ def test_resolve_overlaps_segments(spark):
     segs = sorted((r["seg_start"], r["seg_end"], r["id"]) for r in resolve_overlaps(
         promos, "cat", "s", "e", [F.desc("pct"), F.asc("id")], ["id"]).collect())
     assert segs == [(d(2025, 1, 1), d(2025, 1, 4), 1), (d(2025, 1, 5), d(2025, 1, 6), 2), (d(2025, 1, 7), d(2025, 1, 10), 1)]
+
+
+def test_ratios_are_rounded_once(spark):
+    # just under a tie, a tie, a negative tie, one third, a zero and a NULL denominator
+    from salesnet.functions import pct, ratio_round
+    pairs = [(49999996, 10**10), (50000000, 10**10), (-50000000, 10**10), (1, 3), (7, 0), (7, None), (10**17 + 5, 10**3)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [(None if r[0] is None else str(r[0]), r[1]) for r in
+           df.select(ratio_round(F.col("a"), F.col("b")), pct(F.col("a").cast("decimal(20,0)"), F.col("b"))).collect()]
+    assert [g[0] for g in got] == ["0.00", "0.01", "-0.01", "0.33", None, None, "100000000000000.01"]
+    assert [g[1] for g in got][:4] == [0.5, 0.5, -0.5, 33.33]
