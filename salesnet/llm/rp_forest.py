@@ -1,4 +1,5 @@
-"""Embedding near-dedup with a forest of random-projection trees."""
+"""Embedding near-dedup with a forest of random-projection trees, and exact block pairs for
+groups larger than a leaf."""
 
 from __future__ import annotations
 
@@ -19,6 +20,9 @@ SPILL = 0.06          # share of a node's rows on either side of the median that
 LEAF_ROWS = 1500      # estimated rows of a leaf, over all labels
 FIT_ROWS = 20_000     # bound of the sample the trees are fitted on
 MIN_FIT_LEAF = 16     # sampled rows below which a node is not split
+DENSE_SHARE = 0.25    # share of LEAF_ROWS: a row with more estimated neighbours is kept out of the trees
+MIN_FIT_DENSE = 4     # sampled neighbours such a row has at least
+PAIR_ROWS = 4096      # estimated rows of one block of a cell that is compared in pairs of blocks
 BLOCK = 1024
 
 
@@ -33,8 +37,9 @@ class Tree:
 
     def __init__(self, sample: np.ndarray, rows_each: float, seed: int):
         rng = np.random.default_rng(seed)
-        self.direction, self.low, self.high, self.left, self.right = [], [], [], [], []
+        self.direction, self.low, self.high, self.left, self.right, self.blocks = [], [], [], [], [], []
         self._split(sample, rows_each, rng)
+        self.blocks = np.array(self.blocks, dtype=np.int32)
         self.direction = np.array(self.direction, dtype=np.float32).reshape(len(self.left), sample.shape[1])
 
     def _split(self, x: np.ndarray, rows_each: float, rng) -> int:
@@ -44,6 +49,7 @@ class Tree:
             column.append(0.0)
         for column in (self.left, self.right):
             column.append(-1)
+        self.blocks.append(max(1, int(np.ceil(len(x) * rows_each / PAIR_ROWS))))
         if len(x) * rows_each > LEAF_ROWS and len(x) > MIN_FIT_LEAF:
             d = rng.standard_normal(x.shape[1])
             at = x @ d
@@ -76,10 +82,67 @@ def fit_forest(sample: np.ndarray, rows: int, trees: int = TREES) -> list[Tree]:
     return [Tree(sample, max(1.0, rows / max(1, len(sample))), 1000 + t) for t in range(trees)]
 
 
-def _assign(forests):
-    """Arrow batches of (class_id, label, copies, v) to one row per leaf a class falls into."""
-    schema = pa.schema([("tree", pa.int32()), ("leaf", pa.int32()), ("class_id", pa.int64()), ("label", pa.int64()),
-                        ("copies", pa.int64()), ("dim", pa.int32()), ("v", pa.list_(pa.float64())),
+class Dense:
+    """Centres of the groups that a tree would cut, found on the sample by label.
+
+    A sampled row with ``DENSE_SHARE`` of a leaf as neighbours gets a centre within the
+    threshold angle.  A row that close to a centre is inside: all its neighbours are
+    within twice the angle, so the cell of these rows holds every pair of a row inside,
+    and no tree needs it."""
+
+    def __init__(self, sample: np.ndarray, label: np.ndarray, rows_each: float, threshold: float):
+        self.threshold = threshold
+        self.reach = 2 * threshold * threshold - 1 - 1e-9 if threshold > 0 else -1.1
+        need = max(MIN_FIT_DENSE, int(np.ceil(DENSE_SHARE * LEAF_ROWS / rows_each)))
+        centres, labels, rows = [], [], []
+        for value in np.unique(label):
+            own = sample[label == value]
+            if len(own) <= need:
+                continue
+            near = np.concatenate([(own[at:at + BLOCK] @ own.T >= threshold).sum(axis=1) - 1 for at in range(0, len(own), BLOCK)])
+            todo = near >= need
+            while todo.any():
+                first = int(np.argmax(np.where(todo, near, -1)))
+                centre = _unit(own[own @ own[first] >= threshold].mean(axis=0, keepdims=True))[0]
+                if centre @ own[first] < threshold:
+                    centre = own[first]
+                at = own @ centre
+                todo &= at < threshold
+                todo[first] = False
+                centres.append(centre)
+                labels.append(value)
+                rows.append((at >= self.reach).sum() * rows_each)
+        self.centre = np.array(centres).reshape(-1, sample.shape[1])
+        self.label = np.array(labels, dtype=np.int64)
+        self.blocks = np.maximum(1, np.ceil(np.array(rows) / PAIR_ROWS)).astype(np.int32)
+
+    def cells(self, x: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, centre) for every centre in reach of a row, and which rows are inside."""
+        rows, found, inside = [], [], np.zeros(len(x), dtype=bool)
+        for at in range(0, len(x) if len(self.centre) else 0, BLOCK):
+            near = np.where(label[at:at + BLOCK, None] == self.label[None, :], x[at:at + BLOCK] @ self.centre.T, -2.0)
+            inside[at:at + BLOCK] = (near >= self.threshold).any(axis=1)
+            r, c = np.nonzero(near >= self.reach)
+            rows.append(r + at)
+            found.append(c)
+        none = np.zeros(0, dtype=np.int64)
+        return np.concatenate([none, *rows]), np.concatenate([none, *found]), inside
+
+
+def fit(sample: np.ndarray, label: np.ndarray, rows: int, threshold: float, trees: int) -> tuple[Dense, list[Tree]]:
+    """The dense centres, and the trees of the sampled rows that are not inside one."""
+    each = max(1.0, rows / max(1, len(sample)))
+    dense = Dense(sample, label, each, threshold)
+    rest = sample[~dense.cells(sample, label)[2]]
+    return dense, fit_forest(rest, int(each * len(rest)), trees)
+
+
+def _assign(fitted):
+    """Arrow batches of (class_id, label, copies, v) to one row per cell a class falls into:
+    the dense centres in reach (cells of the tree number after the last), and outside them
+    the leaves of the trees."""
+    schema = pa.schema([("tree", pa.int32()), ("leaf", pa.int32()), ("blocks", pa.int32()), ("class_id", pa.int64()),
+                        ("label", pa.int64()), ("copies", pa.int64()), ("dim", pa.int32()), ("v", pa.list_(pa.float64())),
                         ("earlier", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,15 +155,23 @@ def _assign(forests):
                 own = np.flatnonzero(lengths == dim)
                 x = _unit(np.array([v[int(i)].as_py() for i in own], dtype=np.float64))
                 seen = [[] for _ in own]  # (tree, leaf) codes so far; spill gives a row several leaves of one tree
-                for t, tree in enumerate(forests.value[int(dim)]):
-                    rows, leaf = tree.leaves(x)
+                dense, forest = fitted.value[int(dim)]
+                rows, leaf, inside = dense.cells(x, label.to_numpy(zero_copy_only=False)[own])
+                open_, cells = np.flatnonzero(~inside), [(len(forest), rows, leaf)]
+                for t, tree in enumerate(forest if len(open_) else []):
+                    rows, leaf = tree.leaves(x[open_])
+                    cells.append((t, open_[rows], leaf))
+                for t, rows, leaf in cells:
+                    if not len(rows):
+                        continue
                     order = np.lexsort((leaf, rows))
                     rows, leaf, earlier = rows[order], leaf[order], []
                     for r, code in zip(rows.tolist(), (leaf | t << 20).tolist()):
                         earlier.append(tuple(seen[r]))
                         seen[r].append(code)
                     at = pa.array(own[rows])
-                    yield out_batch(schema, tree=np.full(len(rows), t, np.int32), leaf=leaf.astype(np.int32),
+                    blocks = dense.blocks[leaf] if t == len(forest) else forest[t].blocks[leaf]
+                    yield out_batch(schema, tree=np.full(len(rows), t, np.int32), leaf=leaf.astype(np.int32), blocks=blocks,
                                     class_id=ids.take(at), label=label.take(at), copies=copies.take(at),
                                     dim=np.full(len(rows), dim, np.int32), v=v.take(at),
                                     earlier=pa.array(earlier, type=pa.list_(pa.int32())))
@@ -109,13 +180,17 @@ def _assign(forests):
 
 
 def _leaf_links(threshold: float):
-    """All pairs of one leaf and label, in blocks of rows: per class the copies it is linked
-    to for the first time (no leaf before this one, of any tree, holds both), and one link to its group."""
+    """All pairs of one block pair of a leaf and label, in blocks of rows: per class the copies it
+    is linked to for the first time (no leaf before this one, of any tree, holds both), and one
+    link to its group.  Two different blocks are compared with each other only."""
 
     def run(leaf: pd.DataFrame) -> pd.DataFrame:
         leaf = leaf.drop_duplicates("class_id").sort_values("class_id").reset_index(drop=True)
         ids, copies, n = leaf["class_id"].to_numpy(), leaf["copies"].to_numpy(), len(leaf)
-        if n < 2:
+        block = leaf["block"].to_numpy()
+        i, j = leaf["i"].iat[0], leaf["j"].iat[0]
+        a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        if n < 2 or not len(a) or not len(b):
             return pd.DataFrame({"class_id": [], "links": [], "to": []}).astype("int64")
         x = _unit(np.stack(leaf["v"].to_numpy()).astype(np.float64))
         codes = leaf["earlier"].to_numpy()
@@ -123,19 +198,27 @@ def _leaf_links(threshold: float):
         member = np.zeros((n, len(names)), dtype=np.float32)
         member[np.repeat(np.arange(n), [len(c) for c in codes]), flat] = 1
         links, label = np.zeros(n, dtype=np.int64), np.arange(n)
+        other = x[b].T
         changed, first = True, True
         while changed:
             changed = False
-            for at in range(0, n, BLOCK):
-                near = x[at:at + BLOCK] @ x.T >= threshold
-                near[np.arange(len(near)), np.arange(at, at + len(near))] = True
+            for at in range(0, len(a), BLOCK):
+                own = a[at:at + BLOCK]
+                near = x[own] @ other >= threshold
+                if i == j:
+                    near[np.arange(len(own)), np.arange(at, at + len(own))] = False
                 if first:
-                    new = near & (member[at:at + BLOCK] @ member.T == 0)
-                    new[np.arange(len(near)), np.arange(at, at + len(near))] = False
-                    links[at:at + BLOCK] = new @ copies
-                low = np.where(near, label[None, :], n).min(axis=1)
-                changed |= bool((low < label[at:at + BLOCK]).any())
-                label[at:at + BLOCK] = np.minimum(low, label[at:at + BLOCK])
+                    new = near & (member[own] @ member[b].T == 0)
+                    links[own] += new @ copies[b]
+                    if i != j:
+                        links[b] += copies[own] @ new
+                low = np.minimum(label[own], np.where(near, label[b][None, :], n).min(axis=1))
+                changed |= bool((low < label[own]).any())
+                label[own] = low
+                if i != j:
+                    low = np.minimum(label[b], np.where(near, label[own][:, None], n).min(axis=0))
+                    changed |= bool((low < label[b]).any())
+                    label[b] = low
             first = False
         some = (links > 0) | (label != np.arange(n))
         return pd.DataFrame({"class_id": ids[some], "links": links[some], "to": ids[label[some]]})
@@ -148,13 +231,17 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, trees
 
     1. Equal vectors of a label are one class with a count of copies (partial
        aggregate): copies are never compared with one another.
-    2. The trees are fitted on at most ``FIT_ROWS`` classes (the smallest by hash), deep
-       enough that a leaf is estimated at ``LEAF_ROWS`` rows; the fitted trees are the
-       only thing broadcast.  Every class goes to all leaves it falls into: rows within
-       ``SPILL`` of a median take both sides.
-    3. Classes of one (tree, leaf, label) are compared by cosine in double precision.
-       A pair that meets in several leaves counts in the first of them, so a
+    2. Centres of dense groups and the trees are fitted on at most ``FIT_ROWS`` classes
+       (the smallest by hash) and are the only thing broadcast.  A class inside a dense
+       group goes to the cells of the centres in reach and to no tree, so no split
+       cuts such a group; its links are exact.  The trees hold the others, deep enough
+       that a leaf is estimated at ``LEAF_ROWS`` rows.  Every class goes to all leaves it
+       falls into: rows within ``SPILL`` of a median take both sides.
+    3. Classes of one (tree, leaf, label) are compared by cosine in double precision; a
+       cell estimated above ``PAIR_ROWS`` rows is compared as pairs of hashed blocks, a
+       task each.  A pair that meets in several cells counts in the first of them, so a
        task returns one row per class (its new links, one link to its group), not pairs.
+       The comparisons inside a dense group grow with the square of its distinct vectors.
     4. Components of the links, joined back to the vectors.
 
     A vector that is NULL, all zero, or holds a NULL or non-finite component, and one
@@ -174,16 +261,20 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, trees
     classes = checkpointed(good.groupBy("h", "label", "v").agg(
         F.min("vec_id").alias("class_id"), F.count(F.lit(1)).alias("copies")))
     total = {r[0]: r[1] for r in classes.groupBy(F.size("v")).agg(F.count(F.lit(1))).collect()}
-    sample = classes.orderBy(F.xxhash64("h"), "class_id").limit(FIT_ROWS).select("v").collect()
-    forests = {}
+    sample = classes.orderBy(F.xxhash64("h"), "class_id").limit(FIT_ROWS).select("v", "label").collect()
+    fitted = {}
     for dim, n in total.items():
-        x = np.array([r[0] for r in sample if len(r[0]) == dim], dtype=np.float64).reshape(-1, dim)
-        forests[dim] = fit_forest(_unit(x) if len(x) else x, n, trees)
-    shared = spark.sparkContext.broadcast(forests)
+        own = [r for r in sample if len(r[0]) == dim]
+        x = np.array([r[0] for r in own], dtype=np.float64).reshape(-1, dim)
+        fitted[dim] = fit(_unit(x) if len(x) else x, np.array([r[1] for r in own], dtype=np.int64), n, threshold, trees)
+    shared = spark.sparkContext.broadcast(fitted)
     placed = classes.select("class_id", "label", "copies", "v").mapInArrow(
-        _assign(shared), "tree int, leaf int, class_id long, label long, copies long, dim int, "
+        _assign(shared), "tree int, leaf int, blocks int, class_id long, label long, copies long, dim int, "
                          "v array<double>, earlier array<int>")
-    found = checkpointed(placed.groupBy("tree", "leaf", "dim", "label").applyInPandas(
+    placed = (placed.withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
+              .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .withColumn("i", F.least("block", "_with")).withColumn("j", F.greatest("block", "_with")).drop("blocks", "_with"))
+    found = checkpointed(placed.groupBy("tree", "leaf", "dim", "label", "i", "j").applyInPandas(
         _leaf_links(threshold), "class_id long, links long, to long"))
     counts = found.groupBy("class_id").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select("class_id", "to"), "class_id", "to")

@@ -141,6 +141,24 @@ def test_links_of_planted_clusters_count_once(spark, monkeypatch, leaf):
     assert all(r["component_id"] == comp[r["vec_id"]] for r in got)
 
 
+@pytest.mark.parametrize("fit_rows", [20_000, 1000])
+def test_links_of_a_group_of_several_leaves(spark, monkeypatch, fit_rows):
+    """4 x LEAF_ROWS different near copies: splits used to cut the group."""
+    monkeypatch.setattr(rp_forest, "FIT_ROWS", fit_rows)
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.standard_normal(64) + 0.22 * rng.standard_normal((4 * rp_forest.LEAF_ROWS, 64)),
+                        rng.standard_normal((3000, 64))])
+    order = rng.permutation(len(x))
+    unit = x[order] / np.linalg.norm(x[order], axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    v = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x[order].tolist(), "label": 1}))
+    got = rp_forest.embedding_components(v).toPandas().set_index("vec_id").sort_index()
+    assert near.sum() > 30_000_000 and len(got) == len(x)
+    assert (got["n_links"].to_numpy() == near.sum(axis=1) - 1).all()
+    linked = near.sum(axis=1) > 1
+    assert (got["component_id"].to_numpy() == np.where(linked, np.flatnonzero(linked)[0], np.arange(len(x)))).all()
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = dict(components.connected_components(edges, "a", "b").collect())
