@@ -27,13 +27,19 @@ CLOSES_P = STRUCTURE - {"html", "head", "body", "title"}
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 LIST_LIMITS = {"ul", "ol", "dl", "table", "menu"}
 VOID = {"hr"}
-# Elements that are never main text, and the words in class, id or role that mark such elements.
+# Elements that are never main text, and the whole words in class, id or role that mark such elements.
 NOT_TEXT_TAGS = set("head nav aside footer form fieldset menu dialog title".split())
 NOT_TEXT_WORDS = set("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies
 consent gdpr notice notices alert popup modal overlay sidebar side aside comment comments reply replies respondents
 discussion disqus share sharing social related recommended newsletter subscribe subscription signup login breadcrumb
 breadcrumbs menu nav navbar navigation topbar toolbar footer widget widgets pagination pager hidden
 contentinfo complementary search""".split())
+# A compound such as cookie-notice or top-nav marks one too, if each part is such a word, a number or one of these.
+QUALIFIERS = set("""top bottom left right main site page post posts article articles entry global primary secondary inner outer
+box bar container wrapper wrap list item items section area block group unit slot space link links button buttons icon icons
+header message policy law form title toggle panel""".split())
+COMMENT_WORDS = set("comment comments reply replies respondents discussion disqus".split())
+NEVER_BOILERPLATE = set("html body main article".split())
 OUTSIDE_WORDS = {"header", "masthead", "site-header"}
 MAIN_TAGS = {"article", "main"}
 
@@ -43,32 +49,71 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|[^<]+|<", re.S | re.I)
-_ATTRIBUTE = re.compile(r"(class|id|role|style|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 
 
 def _name(tag: str, attributes: str) -> str:
     """Tag with its class, id and role: the role that tells template tokens apart."""
     if not attributes.strip():
         return tag
-    found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
+    found: dict[str, str] = {}
+    for k, v in _ATTRIBUTE.findall(attributes):
+        found.setdefault(k.lower(), v.strip("\"'"))
     words = [w for k in ("class", "id", "role") for w in found.get(k, "").lower().split()]
     if "hidden" in found or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
         words.append("hidden")
     return ".".join([tag, *(w.replace("/", "_").replace(".", "_") for w in words)])
 
 
+def _by_tag(tag: str, inside: bool) -> bool:
+    return tag in NOT_TEXT_TAGS or (tag == "header" and not inside)
+
+
+def _marks(word: str, inside: bool) -> set[str]:
+    """The listed words a class word consists of: itself, or the parts of a compound of
+    listed words, ``QUALIFIERS`` and numbers only."""
+    listed = NOT_TEXT_WORDS if inside else NOT_TEXT_WORDS | OUTSIDE_WORDS
+    if word in listed:
+        return {word}
+    parts = {p for p in re.split(r"[-_]+", word) if p}
+    return parts & listed if all(p in listed or p in QUALIFIERS or p.isdigit() for p in parts) else set()
+
+
 def _is_boilerplate(name: str, inside: bool) -> bool:
-    """Whether an element holds no main text; ``inside``: below the main element."""
+    """Whether an element holds no main text by its name; ``inside``: below the main element."""
     tag, *words = name.split(".")
-    if tag in NOT_TEXT_TAGS or (tag == "header" and not inside):
-        return True
-    for word in words:
-        parts = [word, *re.split(r"[-_]+", word)]
-        if any(p in NOT_TEXT_WORDS or (p in OUTSIDE_WORDS and not inside) for p in parts):
+    return tag not in NEVER_BOILERPLATE and (_by_tag(tag, inside) or any(_marks(w, inside) for w in words))
+
+
+def _closed(path: str, base: str, held: set[str]) -> bool:
+    """Whether an element of ``path`` below ``base`` holds no main text."""
+    at = base
+    for name in path[len(base):].split("/")[1:]:
+        at = f"{at}/{name}"
+        if at not in held and _is_boilerplate(name, bool(base)):
             return True
     return False
 
 
+def held_paths(nodes: dict[str, tuple[int, int]]) -> set[str]:
+    """Elements that hold most of the text outside links: their class words do not make them
+    boilerplate, unless they mark reader comments."""
+    below: Counter = Counter()
+    total = 0
+    for path, (chars, link) in nodes.items():
+        own, at = max(0, chars - link), ""
+        total += own
+        for name in path.split("/")[1:]:
+            at = f"{at}/{name}"
+            below[at] += own
+    held = set()
+    for path, chars in below.items():
+        tag, *words = path.rsplit("/", 1)[1].split(".")
+        if 2 * chars > total and not _by_tag(tag, False) and not any(_marks(w, False) & COMMENT_WORDS for w in words):
+            held.add(path)
+    return held
+
+
 def parse(page: str) -> tuple[Counter, list[tuple[str, str, int]]]:
     """(occurrences of each structural token by its path, blocks of (path, text, link characters))."""
     tokens: Counter = Counter()
@@ -129,22 +174,22 @@ def parse(page: str) -> tuple[Counter, list[tuple[str, str, int]]]:
     return tokens, blocks
 
 
-def _mass(nodes: dict[str, tuple[int, int]], path: str) -> int:
+def _mass(nodes: dict[str, tuple[int, int]], path: str, held: set[str]) -> int:
     """Text below ``path`` outside boilerplate, links counted against it."""
     total = 0
     for p, (chars, link) in nodes.items():
-        if (p == path or p.startswith(path + "/")) and not any(_is_boilerplate(n, True) for n in p[len(path):].split("/")[1:]):
+        if (p == path or p.startswith(path + "/")) and not _closed(p, path, held):
             total += chars - 2 * link
     return total
 
 
-def choose_main(template: set[str], nodes: dict[str, tuple[int, int]]) -> str:
+def choose_main(template: set[str], nodes: dict[str, tuple[int, int]], held: set[str]) -> str:
     """Path of the template element whose slots hold the main text: an ``article`` or
     ``main`` of the template, or else the deepest element that keeps ``MIN_MASS`` of the
     text outside boilerplate."""
-    open_ = [p for p in template if p and not any(_is_boilerplate(n, False) for n in p.split("/")[1:])]
+    open_ = [p for p in template if p and not _closed(p, "", held)]
     named = [p for p in open_ if p.rsplit("/", 1)[1].split(".")[0] in MAIN_TAGS or ".main" in p.rsplit("/", 1)[1]]
-    masses = {p: _mass(nodes, p) for p in (named or open_)}
+    masses = {p: _mass(nodes, p, held) for p in (named or open_)}
     if not masses:
         return ""
     most = max(masses.values())
@@ -156,21 +201,21 @@ def choose_main(template: set[str], nodes: dict[str, tuple[int, int]]) -> str:
     return max(wrap, key=lambda p: (p.count("/"), masses[p], p))
 
 
-def main_text(page: str, main: str | None) -> str:
+def main_text(page: str, main: str | None, held: set[str] = frozenset()) -> str:
     """Blocks below the template's main element, outside boilerplate; a page without that
-    element is judged on its own tokens."""
+    element is judged on its own tokens.  ``held``: the host's elements that hold most text."""
     tokens, blocks = parse(page)
     if not main or main not in tokens:
         nodes: dict[str, list[int]] = defaultdict(lambda: [0, 0])
         for path, text, link in blocks:
             nodes[path][0] += len(text)
             nodes[path][1] += link
-        main = choose_main(set(tokens), {p: tuple(v) for p, v in nodes.items()})
+        held = held_paths({p: tuple(v) for p, v in nodes.items()})
+        main = choose_main(set(tokens), {p: tuple(v) for p, v in nodes.items()}, held)
         if not main:
-            return "\n\n".join(t for p, t, _ in blocks if not any(_is_boilerplate(n, False) for n in p.split("/")[1:]))
+            return "\n\n".join(t for p, t, _ in blocks if not _closed(p, "", held))
     return "\n\n".join(
-        t for p, t, _ in blocks if (p == main or p.startswith(main + "/"))
-        and not any(_is_boilerplate(n, True) for n in p[len(main):].split("/")[1:]))
+        t for p, t, _ in blocks if (p == main or p.startswith(main + "/")) and not _closed(p, main, held))
 
 
 def token_vectors(pages: DataFrame) -> DataFrame:
@@ -232,12 +277,13 @@ def nest(classes: list[tuple[int, list[str]]]) -> list[int]:
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, main): per host the template element that holds the main slots.  The classes
+    """(host, main, held): per host the template element that holds the main slots, and the
+    elements below it that hold most of the host's text whatever their class.  The classes
     of a host are nested and the choice runs over the elements reached from the root
     class, outermost first."""
     classes = equivalence_classes(token_vectors(pages))
     per_host = classes.groupBy("host", "host_pages").agg(F.collect_list(F.struct("pages", "occurrences", "tokens")).alias("classes"))
-    schema = pa.schema([("host", pa.string()), ("main", pa.string())])
+    schema = pa.schema([("host", pa.string()), ("main", pa.string()), ("held", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,13 +295,15 @@ def host_templates(pages: DataFrame) -> DataFrame:
                 root = {t for i, c in enumerate(row["classes"]) if c["pages"] == c["occurrences"] == row["host_pages"]
                         for t in own[i][1]}
                 nested = {t for i, (_, tokens) in enumerate(own) if parents[i] >= 0 or set(tokens) & root for t in tokens}
-                main = choose_main(root - {""}, nodes)
-                if not main or _mass(nodes, main) <= 0:
-                    main = choose_main(nested - {""}, nodes)
-                found.append((row["host"], main))
-            yield out_batch(schema, host=[f[0] for f in found], main=[f[1] for f in found])
+                held = held_paths(nodes)
+                main = choose_main(root - {""}, nodes, held)
+                if not main or _mass(nodes, main, held) <= 0:
+                    main = choose_main(nested - {""}, nodes, held)
+                held = sorted(p for p in held if p.startswith(main + "/") and _is_boilerplate(p.rsplit("/", 1)[1], True))
+                found.append((row["host"], main, held))
+            yield out_batch(schema, host=[f[0] for f in found], main=[f[1] for f in found], held=[f[2] for f in found])
 
-    return per_host.mapInArrow(run, "host string, main string")
+    return per_host.mapInArrow(run, "host string, main string, held array<string>")
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -276,15 +324,17 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     host = F.coalesce(F.lower(F.regexp_extract("url", "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
     found = checkpointed(host_templates(slim))
-    size = found.agg(F.sum(F.octet_length("host") + F.octet_length("main") + 64)).first()[0] or 0
+    size = found.agg(F.sum(F.octet_length("host") + F.octet_length("main")
+                             + F.octet_length(F.array_join("held", "")) + 64)).first()[0] or 0
     found = found.withColumnRenamed("host", "_host")
     joined = slim.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, F.col("host") == F.col("_host"), "left")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "html"):
-            texts = [main_text(p, m) for p, m in zip(text_of(batch, "html").to_pylist(), batch.column(3).to_pylist())]
+            texts = [main_text(p, m, frozenset(h or ())) for p, m, h in zip(
+                text_of(batch, "html").to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist())]
             yield out_batch(schema, page_id=batch.column(0), url=batch.column(1), text=texts, n_chars=[len(t) for t in texts])
 
-    return joined.select("page_id", "url", "html", "main").mapInArrow(
+    return joined.select("page_id", "url", "html", "main", "held").mapInArrow(
         run, "page_id long, url string, text string, n_chars long")

@@ -445,6 +445,21 @@ def test_extraction_on_other_layouts(spark, layout):
         assert r["text"] == "\n\n".join(body)
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<body class='no-sidebar'><div class='c'>", "</div>"), ("<body><div class='overflow-hidden'>", "</div>"),
+    ("<body><div class='has-menu'>", "</div>"), ("<body><article class='post comments-open'>", "</article>"),
+    ("<body><div aria-hidden='false' id='x'>", "</div>"), ("<body><div title='The hidden valley'>", "</div>"),
+    ("<body><div data-id='ad'>", "</div>"), ("<body><div class='widget'>", "</div>"),
+    ("<body><article><div class='widget'>", "</div></article>")])
+def test_extraction_keeps_articles_in_elements_with_like_names(spark, start, end):
+    rows = [(i, "http://a.org/x", f"<html>{start}<h1>Title {i}</h1><p>{'some words of the page ' * 9}{i}</p><div class='comments'><p>first</div>"
+             f"<div class='ad'>Buy</div>{end}<div id='top-nav' hidden=x><p>menu</div><div hidden>none</div></body></html>") for i in range(6)]
+    assert template.main_text(rows[0][2], None).split("\n\n") == ["Title 0", "some words of the page " * 9 + "0"]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    for r in template.extract_main_text(pages).collect():
+        assert r["text"].split("\n\n") == [f"Title {r['page_id']}", "some words of the page " * 9 + str(r["page_id"])]
+
+
 def test_equivalence_classes_group_equal_vectors(spark):
     rows = [(i, "http://h/", "h", "<body><div class=a><p>x</div>" + ("<div class=b></div>" if i % 2 else "")) for i in range(6)]
     vectors = template.token_vectors(spark.createDataFrame(rows, "page_id long, url string, host string, html string"))
