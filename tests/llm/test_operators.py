@@ -511,6 +511,35 @@ def test_language_of_held_out_documents(spark, documents, plain, odd):
     assert got[1] == got[2] == got[3] == got[9] == "und"
 
 
+def test_every_language_gets_an_automaton(spark):
+    """More languages than one part holds, the last by name the most frequent."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(70):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(25)]
+        name = "zh" if k == 69 else f"l{k:02d}"
+        rows += [(len(rows) + i, " ".join(rng.choice(words, 20)), name, "a") for i in range(40 if name == "zh" else 8)]
+    got = cross_parse.identify_languages(docs_frame(spark, rows).coalesce(2)).collect()
+    lang = {r[0]: r[2] for r in rows}
+    assert len(got) == len(rows) and all(r["lang_pred"] == lang[r["doc_id"]] for r in got)
+    assert all(0 < r["score"] <= 1 for r in got)
+
+
+@pytest.mark.parametrize("limit", [1, 30_000, 256 << 20])
+def test_groups_of_languages_and_sparse_lookup_agree(monkeypatch, plain, limit):
+    import pyarrow as pa
+    texts = {k: plain[plain["lang"] == k]["text"].dropna().str[:300].tolist()[:5] for k in ("de", "en", "es", "fr")}
+    texts["zh"] = ["漢字仮名交"]
+    queries_ = pa.array([*plain["text"].dropna()[20:40], "漢字 x", ""])
+    whole = cross_parse.CrossParser(texts).phrases(queries_)[0]
+    for j, k in enumerate(sorted(texts)):
+        assert (cross_parse.CrossParser({k: texts[k]}).phrases(queries_)[0][:, 0] == whole[:, j]).all()
+    monkeypatch.setattr(cross_parse, "TABLE_BYTES", limit)
+    parser = cross_parse.CrossParser(texts)
+    assert limit > 30_000 or len(parser.groups) > 1
+    assert (parser.phrases(queries_)[0] == whole).all()
+
+
 # ---------------------------------------------------------------- op 10
 
 def test_elias_fano_round_trip():
