@@ -18,7 +18,8 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 TREES = 100
 TREE_ROWS = 256
-FIT_ROWS = 20_000      # bound of the labelled sample the forest and its threshold are fitted on
+FIT_ROWS = 20_000      # bound of the labelled sample the forest is fitted on
+SCORE_STEPS = 100_000  # steps of the score that the threshold is chosen from
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper_words", "n_bare", "n_shouts")
 FEATURES = ("symbols", "upper", "bare", "shouts", "repeats", "word_length")
@@ -178,34 +179,61 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, rows: int, condition=None)
             .select("doc_id", "text", "quality"))
 
 
-def best_cut(scores: np.ndarray, bad: np.ndarray) -> float:
-    """Score above which a row is rejected: the cut with the highest share of bad rows
-    caught less the share of good rows lost, in the middle of its gap; without both
-    kinds of rows nothing is rejected."""
-    if not bad.any() or bad.all():
+def best_cut(low: np.ndarray, high: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """Score above which a row is rejected, from the lowest and highest score and the good
+    and bad rows of each step of the score: the cut with the highest share of bad rows
+    caught less the share of good rows lost, in the middle of its gap.  Nothing is rejected
+    without both kinds of rows, or if no cut catches a larger share of bad rows than of good."""
+    if len(low) < 2 or not good.sum() or not bad.sum():
         return float("inf")
-    order = np.argsort(-scores, kind="stable")
-    s, b = scores[order], bad[order]
-    gain = np.cumsum(b) / b.sum() - np.cumsum(~b) / (~b).sum()
-    gain[:-1][s[1:] == s[:-1]] = -np.inf  # a cut falls between different scores
+    order = np.argsort(-low, kind="stable")
+    low, high, good, bad = low[order], high[order], good[order], bad[order]
+    gain = (np.cumsum(bad) * good.sum() - np.cumsum(good) * bad.sum())[:-1]
     at = int(np.argmax(gain))
-    return float((s[at] + s[at + 1]) / 2) if at + 1 < len(s) else float("-inf")
+    return float((low[at] + high[at + 1]) / 2) if gain[at] > 0 else float("inf")
 
 
 def _base_failed(s: dict[str, np.ndarray]) -> np.ndarray:
     return (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PERCENT * s["n_words"])
 
 
+def score_steps(docs: DataFrame, labels: DataFrame, forest: IsolationForest) -> DataFrame:
+    """step, low, high, good, bad: all labelled documents that pass the base rules, by score
+    in ``1 / SCORE_STEPS`` steps.  Texts are scored where they are read; ids and scores meet the labels."""
+    shared = docs.sparkSession.sparkContext.broadcast(forest)
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            s = _stats(batch)
+            ok = ~_base_failed(s)
+            yield out_batch(schema, doc_id=batch.column(0).filter(pa.array(ok)), score=shared.value.score(features(s))[ok])
+
+    scores = (docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+              .mapInArrow(run, "doc_id long, score double"))
+    known = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+             .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").alias("quality")))
+    is_bad = (F.col("quality") == 0).cast("long")
+    return (scores.join(known, F.col("doc_id") == F.col("_id"))
+            .groupBy(F.floor(F.col("score") * SCORE_STEPS).alias("step"))
+            .agg(F.min("score").alias("low"), F.max("score").alias("high"),
+                 F.sum(1 - is_bad).alias("good"), F.sum(is_bad).alias("bad")))
+
+
 def fit_rules(docs: DataFrame, labels: DataFrame) -> tuple[IsolationForest, float]:
-    """The forest on labelled documents of quality 1 and its threshold on all labelled
-    ones, from at most ``FIT_ROWS`` documents that pass the base rules."""
+    """The forest on at most ``FIT_ROWS`` labelled documents of quality 1 that pass the base
+    rules, and its threshold on all labelled ones that do."""
     sample = labelled_rows(docs, labels, FIT_ROWS)
     rows = rule_statistics(sample, "quality").limit(2 * FIT_ROWS).toPandas().sort_values(["doc_id", *STATS])
     s = {c: rows[c].to_numpy(dtype=np.int64) for c in STATS}
     x, bad, ok = features(s), rows["quality"].to_numpy(dtype=float) == 0, ~_base_failed(s)
     x, bad = x[ok], bad[ok]
     forest = IsolationForest(x[~bad], x)
-    return forest, best_cut(forest.score(x), bad) if len(x) else float("inf")
+    if not len(x):
+        return forest, float("inf")
+    steps = score_steps(docs, labels, forest).toPandas()
+    return forest, best_cut(steps["low"].to_numpy(dtype=float), steps["high"].to_numpy(dtype=float),
+                            steps["good"].to_numpy(dtype=np.int64), steps["bad"].to_numpy(dtype=np.int64))
 
 
 def judge(docs: DataFrame, model: tuple[IsolationForest, float], names: list[str]) -> DataFrame:
@@ -233,9 +261,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     The statistics come from every whole text in one pass over Arrow batches.  A document
     that passes the base rules is kept unless its isolation score is above the threshold
-    that separates the labelled documents best.  The forest and the threshold are fitted
-    on at most ``FIT_ROWS`` labelled documents (chosen by a hash of the id) and are the
-    only thing broadcast.
+    that separates the labelled documents best.  The forest is fitted on at most
+    ``FIT_ROWS`` labelled documents (chosen by a hash of the id), the threshold on all
+    labelled ones, to ``1 / SCORE_STEPS`` of the score; they are the only thing broadcast.
 
     NULL or empty text has no words and fails the base rules.  Without labels of both
     kinds only the base rules reject.  Rows without id are judged like others; repeated

@@ -326,6 +326,36 @@ def test_rule_statistics_and_verdict(spark, documents, plain, odd):
     assert np.mean([not k for k, q in judged if q == 0]) > 0.95 and np.mean([k for k, q in judged if q == 1]) > 0.98
 
 
+def test_threshold_without_a_useful_cut_rejects_nothing():
+    def cut(scores, bad):
+        s, b = np.array(scores), np.array(bad)
+        return rules_forest.best_cut(s, s, 1 - b, b)
+
+    assert cut([0.5, 0.4, 0.3], [0, 0, 1]) == float("inf")     # one ordinary bad row
+    assert cut([0.5], [1]) == cut([0.5, 0.4], [0, 0]) == float("inf")
+    same = rules_forest.best_cut(np.array([0.5]), np.array([0.5]), np.array([3]), np.array([1]))
+    assert same == float("inf")                                 # equal scores
+    assert cut([0.9, 0.6, 0.3, 0.2], [1, 0, 0, 0]) == pytest.approx(0.75)
+
+
+def test_rules_keep_documents_when_copies_alone_are_labelled(spark):
+    text = "a plain sentence of more than ten quite ordinary words stands here"
+    docs = docs_frame(spark, [(i, text, "en", "a") for i in range(20)])
+    labels = spark.createDataFrame([(i, int(i != 3)) for i in range(20)], "doc_id long, quality int")
+    assert rules_forest.passing(docs, labels).count() == 20
+
+
+def test_threshold_counts_all_labelled_rows(spark, documents, monkeypatch):
+    monkeypatch.setattr(rules_forest, "FIT_ROWS", 50)
+    labels = spark.read.parquet(f"{DIR}/labels.parquet")
+    forest = rules_forest.IsolationForest(np.zeros((0, len(rules_forest.FEATURES))), np.zeros((0, len(rules_forest.FEATURES))))
+    steps = rules_forest.score_steps(documents, labels, forest).agg(F.sum("good"), F.sum("bad")).first()
+    base = rules_forest.quality_rules(documents, labels.limit(0)).filter("not base_failed")
+    truth = {r["quality"]: r["n"] for r in base.join(labels.filter("quality is not null").select("doc_id", "quality"), "doc_id")
+             .groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert steps[0] + steps[1] == sum(truth.values()) > 50 and steps[1] == truth[0]
+
+
 def test_repeated_windows_with_equal_hashes(monkeypatch):
     codes = np.array([1, 2, 3, 4, 5, 9, 1, 2, 3, 4, 5, 8])
     assert rules_forest._repeated_words(np.zeros(12, np.int64), codes, 1).tolist() == [10]
