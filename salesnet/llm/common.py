@@ -124,6 +124,13 @@ def words_of(text: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarra
             coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary)
 
 
+def scramble(x: np.ndarray) -> np.ndarray:
+    """A bijective mixing of 64-bit words (shift, multiply, shift)."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
 def per_row(rows: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:
     return np.bincount(rows, weights=weights, minlength=n)
 
