@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY_SAMPLE = 64  # sampled keys per bucket boundary
@@ -57,3 +57,34 @@ def with_bucket(df: DataFrame, cols: Sequence[str], cuts: Sequence[tuple[str, ..
         df = df.withColumn(out, F.when(below, F.col(out) + F.lit(step)).otherwise(F.col(out)))
         step //= 2
     return df
+
+
+def rank_by_value(df: DataFrame, by: Sequence[str], value: str, out: str = "rank", buckets: int | None = None) -> DataFrame:
+    """``RANK() OVER (PARTITION BY by ORDER BY value DESC)`` without a window over a whole group.
+
+    Two passes: the different values of a group are counted (a partial aggregate, so a
+    value that a third of the rows share is one row) and go to range buckets of
+    (``by``, ``value``); a value's rank is the rows in the group's higher buckets, plus
+    those above it in its own, plus one.  A window holds one bucket of a group, or one
+    row per bucket.  NULL values rank last.  ``df`` is planned three times: checkpoint it.
+    """
+    n = int(buckets or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = [*by, value]
+    values = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    placed = with_bucket(values, key, cut_points(df, key, n), "_bucket")
+    before = (Window.unboundedPreceding, -1)
+    higher = Window.partitionBy(*by).orderBy(F.desc("_bucket")).rowsBetween(*before)
+    offsets = (placed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_rows"))
+               .select(*[F.col(c).alias(f"_of_{c}") for c in by], F.col("_bucket").alias("_of_bucket"),
+                       F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_higher")))
+    above = Window.partitionBy(*by, "_bucket").orderBy(F.desc(value)).rowsBetween(*before)
+    here = F.col("_bucket") == F.col("_of_bucket")
+    for c in by:
+        here = here & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    ranks = (placed.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0))).join(offsets, here)
+             .select(*[F.col(c).alias(f"_at_{c}") for c in key],
+                     (F.col("_higher") + F.col("_above") + 1).cast("int").alias(out)))
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    return df.join(ranks, same).drop(*[f"_at_{c}" for c in key])

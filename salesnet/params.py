@@ -17,6 +17,12 @@ class Period:
     def of(start: str, end: str) -> "Period":
         return Period(dt.date.fromisoformat(start), dt.date.fromisoformat(end))
 
+    def months(self) -> list[dt.date]:
+        """First days of the calendar months that the window touches."""
+        last = self.end - dt.timedelta(days=1)
+        first = self.start.year * 12 + self.start.month - 1
+        return [dt.date(m // 12, m % 12 + 1, 1) for m in range(first, last.year * 12 + last.month)]
+
     def sql(self, column: str) -> str:
         """The same window as a SQL predicate (used by the DuckDB oracle)."""
         return f"{column} >= DATE '{self.start.isoformat()}' AND {column} < DATE '{self.end.isoformat()}'"

@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 
 from salesnet.functions.scalar import DEC, dec_round, from_cents, money, pct, ratio_round, safe_pct
 from salesnet.operators import (
-    cohort_retention, consecutive, in_period, decline_flags, geography, group_mean, lag_change, latest_value,
-    minmax_score, order_lines, order_totals, pairwise_corr, rank_within, rolling_mean,
+    blocked_corr, cohort_retention, consecutive, in_period, decline_flags, geography, group_mean, item_vectors, lag_change,
+    latest_value, minmax_score, order_lines, order_totals, pairwise_corr, rank_by_value, rolling_mean,
     share_of_total, tier_label, top_n_per_group, weighted_sum, with_geography, with_products,
     without_activity,
 )
+from salesnet.operators.pairs import BLOCK_ITEMS
 from salesnet.params import DEFAULT_H2, DEFAULT_PERIOD, Period
+from salesnet.session import ensure_checkpoint_dir
 from salesnet.sources.star import Star
 
 
@@ -345,7 +347,9 @@ def distributor_scorecard(star: Star, period: Period = DEFAULT_PERIOD) -> DataFr
         F.sum("lines").alias("lines"),
         F.sum("promoted_lines").alias("promoted"),
         latest_value("growth", "sales_month", where=F.col("prev").isNotNull()).alias("latest_growth"))
-    card = rank_within(card, ["zone_name"], [F.desc("total")], out="zone_rank")
+    # one row per distributor, written once: the rank reads it three times
+    ensure_checkpoint_dir(card.sparkSession)
+    card = rank_by_value(card.checkpoint(), ["zone_name"], "total", out="zone_rank")
     return (card.select("zone_name", "distributor_name", money(F.col("total")).alias("total_revenue"),
                         money(F.col("latest_growth")).alias("latest_mom_growth_percentage"),
                         pct(F.col("promoted"), F.col("lines")).alias("promotion_participation_rate"),
@@ -424,38 +428,52 @@ SUBSTITUTION_LABELS = [
 NO_SUBSTITUTION = "No substitution signal"
 
 
-def sku_substitution(star: Star, period: Period = DEFAULT_PERIOD, threshold: float = -0.5,
-                     sku_key: str = "sku_name", min_overlap: int = 0) -> DataFrame:
-    """SKU pairs of a category whose monthly units correlate below ``threshold``.
-
-    Pearson r over the months both SKUs sold; filter and label use the
-    unrounded r, the output shows it rounded to 3 dp.  ``sku_key`` is
-    ``sku_name`` (product line, the default) or ``product_id``.  The pairs are
-    the output domain: C(k, 2) per category and month for k items of the
-    category sold that month.  At product-line grain k is bounded by the brands
-    of a category; the product-id grain suits catalogues where it is small
-    (the original question has ten SKUs per category).  ``min_overlap`` optionally
-    requires that many shared months (off by default, as in the question: two
-    shared months already give r = +-1).
-    """
-    per = with_products(product_totals(star, period, month=True).select("product_id", "sales_month", "units"),
-                        star, ["category", "sku_name"])
-    if sku_key == "product_id":
-        series = per.select("category", "product_id", "sku_name", "sales_month", "units")
-        pairs = pairwise_corr(series, "product_id", "category", "sales_month", "units", label="sku_name")
-        pairs = pairs.withColumnRenamed("a_sku_name", "sku_a").withColumnRenamed("b_sku_name", "sku_b")
-    else:
-        series = per.groupBy("category", "sku_name", "sales_month").agg(F.sum("units").alias("units"))
-        pairs = pairwise_corr(series, "sku_name", "category", "sales_month", "units")
-        pairs = pairs.withColumnRenamed("a_sku_name", "sku_a").withColumnRenamed("b_sku_name", "sku_b")
+def _substitutes(pairs: DataFrame, columns: list) -> DataFrame:
+    """The substitution label of the unrounded r, and r to 3 places."""
     r = F.col("correlation")
     label = F.when(r < F.lit(float(SUBSTITUTION_LABELS[0][0])), F.lit(SUBSTITUTION_LABELS[0][1])) \
              .when(r < F.lit(float(SUBSTITUTION_LABELS[1][0])), F.lit(SUBSTITUTION_LABELS[1][1])) \
              .otherwise(F.lit(NO_SUBSTITUTION))
+    return (pairs.select("category", *columns, F.round(r.cast("decimal(20,8)"), 3).cast("double").alias("correlation"),
+                         label.alias("interpretation"))
+            .orderBy("category", "correlation", *columns))
+
+
+def sku_substitution(star: Star, period: Period = DEFAULT_PERIOD, threshold: float = -0.5, sku_key: str = "sku_name",
+                     min_overlap: int = 0) -> DataFrame:
+    """J20 by product line: SKU names of a category whose monthly units correlate below
+    ``threshold``; with ``sku_key`` ``product_id``, ``product_substitution``.
+
+    Pearson r over the months both SKUs sold; filter and label use the unrounded r, the
+    output shows it rounded to 3 dp.  The SKUs of a category are bounded by its brands.
+    ``min_overlap`` optionally requires that many shared months (off by default, as in the
+    question: two shared months already give r = +-1).
+    """
+    if sku_key == "product_id":
+        return product_substitution(star, period, threshold, min_overlap)
+    per = with_products(product_totals(star, period, month=True).select("product_id", "sales_month", "units"),
+                        star, ["category", "sku_name"])
+    series = per.groupBy("category", "sku_name", "sales_month").agg(F.sum("units").alias("units"))
+    pairs = pairwise_corr(series, "sku_name", "category", "sales_month", "units")
+    pairs = pairs.withColumnRenamed("a_sku_name", "sku_a").withColumnRenamed("b_sku_name", "sku_b")
     if min_overlap:
         pairs = pairs.filter(F.col("n_shared") >= min_overlap)
-    return (pairs.filter(r < F.lit(threshold))
-            .select("category", "sku_a", "sku_b",
-                    F.round(r.cast("decimal(20,8)"), 3).cast("double").alias("correlation"),
-                    label.alias("interpretation"))
-            .orderBy("category", "correlation", "sku_a", "sku_b"))
+    return _substitutes(pairs.filter(F.col("correlation") < F.lit(threshold)), ["sku_a", "sku_b"])
+
+
+def product_substitution(star: Star, period: Period = DEFAULT_PERIOD, threshold: float = -0.5, min_overlap: int = 0,
+                         block: int = BLOCK_ITEMS) -> DataFrame:
+    """J20 at the question's own grain, one series per product: product pairs of a category
+    whose monthly units correlate below ``threshold``.
+
+    Each product is one row with its months as an array; a category's products
+    are compared as pairs of blocks (``blocked_corr``), so no row per pair and month
+    exists and a task holds two blocks of ``block`` products, whatever the category's size.
+    """
+    months = period.months()
+    per = product_totals(star, period, month=True).select("product_id", "sales_month", "units")
+    vectors = with_products(item_vectors(per, ["product_id"], "sales_month", "units", months), star, ["category", "sku_name"])
+    sizes = star.products.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    pairs = blocked_corr(vectors, "product_id", "category", sizes, len(months), threshold, "sku_name", min_overlap, block)
+    columns = {"a_product_id": "product_a", "b_product_id": "product_b", "a_sku_name": "sku_a", "b_sku_name": "sku_b"}
+    return _substitutes(pairs.withColumnsRenamed(columns), list(columns.values()))

@@ -63,6 +63,7 @@ def analytic_queries() -> dict[str, Query]:
         "distributor_scorecard": _on_star(jobs.distributor_scorecard),
         "revenue_at_risk": _on_star(jobs.revenue_at_risk),
         "sku_substitution": _on_star(jobs.sku_substitution),
+        "product_substitution": _on_star(jobs.product_substitution),
     }
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from salesnet import schemas
 from salesnet.functions.scalar import DEC, money, safe_pct
-from salesnet.operators import day_attach, order_lines, order_totals, resolve_overlaps, with_products
+from salesnet.operators import cut_points, day_attach, order_lines, order_totals, resolve_overlaps, with_bucket, with_products
 from salesnet.params import DEFAULT_PERIOD, Period
 from salesnet.sources.star import TABLE_NAMES, Star
 
@@ -103,17 +103,34 @@ IMPLIED_LINE_RULES = [
 
 def check_implied_rules(star: Star) -> DataFrame:
     """R2, the rules the writer implies: (rule, table_name, violations) from one pass over
-    the lines with their order date, product category and promotion."""
-    lines = order_lines(star, None, promotion_id=True).withColumn("_alone", -1 - F.pmod(F.xxhash64("order_id"), F.lit(1024)))
-    lines = with_products(lines, star, ["category"]).withColumn("_key", F.coalesce("promotion_id", "_alone"))
+    the lines with their order date.
+
+    The rules of a line alone are counted, in exact cents, while lines are reduced to
+    (product, date, promotion), or what the promotion is derived from, and those without
+    promotion to their product; only these weighted rows meet the products, and only
+    (category, date, promotion) rows meet the promotions, so neither a hot product nor
+    the lines without promotion make a skewed join.
+    """
+    hook = star.promotion_ids
+    lines = order_lines(star, None, promotion_id=hook is None)
+    promoted = F.col("is_promoted") if hook else F.col("promotion_id").isNotNull()
+    keys = ["product_id", F.when(promoted, F.col("order_date")).alias("order_date")]
+    keys += [F.when(promoted, F.col("discount_pct")).alias("discount_pct"), "is_promoted"] if hook else ["promotion_id"]
+    groups = lines.groupBy(*keys).agg(
+        F.count_if(F.col("net_cents") != F.col("gross_cents") - F.col("discount_cents")).alias("_unequal"),
+        F.count_if(F.col("discount_cents") != 0).alias("_discounted"), F.count(F.lit(1)).alias("_lines"))
+    groups = with_products(hook(groups) if hook else groups, star, ["category"])
+    groups = groups.groupBy("category", "promotion_id", "order_date").agg(
+        *[F.sum(c).alias(c) for c in ("_unequal", "_discounted", "_lines")])
     promo = star.promotions.select(F.col("promotion_id").alias("_promotion"), F.col("category").alias("_category"),
                                    "start_date", "end_date")
-    seen = lines.join(promo, F.col("_key") == F.col("_promotion"), "left")
-    rules = [*IMPLIED_LINE_RULES,
-             ("promotion_category_is_product_category", "_promotion IS NULL OR _category = category"),
-             ("order_date_inside_promotion", "_promotion IS NULL OR order_date BETWEEN start_date AND end_date")]
-    counts = seen.selectExpr(*[f"count_if(NOT ({pred})) AS c{i}" for i, (_, pred) in enumerate(rules)])
-    return _stacked(counts, "sales_order_items", [name for name, _ in rules])
+    seen = groups.join(promo, F.col("promotion_id") == F.col("_promotion"), "left")
+    counted = [(IMPLIED_LINE_RULES[0][0], "_unequal", "false"),
+               (IMPLIED_LINE_RULES[1][0], "_discounted", "promotion_id IS NOT NULL"),
+               ("promotion_category_is_product_category", "_lines", "_promotion IS NULL OR _category = category"),
+               ("order_date_inside_promotion", "_lines", "_promotion IS NULL OR order_date BETWEEN start_date AND end_date")]
+    counts = seen.selectExpr(*[f"sum(IF(NOT ({holds}), {n}, 0)) AS c{i}" for i, (_, n, holds) in enumerate(counted)])
+    return _stacked(counts, "sales_order_items", [name for name, *_ in counted])
 
 
 def _stacked(counts: DataFrame, table: str, names: Sequence[str]) -> DataFrame:
@@ -215,6 +232,9 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str]) ->
     duplicate keys in ``new`` the smallest row by the remaining columns is
     kept, so the choice is deterministic; it is a MIN aggregate, partial before
     the shuffle, so a key repeated on a third of the rows costs one row per task.
+    Keys with a NULL are equal when their other columns are: they meet the target's
+    rows with a NULL key only (a filter pushed to its scan), while whole keys meet in a
+    plain equi-join, which reads a target bucketed by the key without a shuffle.
     """
     keys = list(keys)
     others = [c for c in new.columns if c not in keys]
@@ -223,39 +243,38 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str]) ->
                  .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]))
     else:
         first = new.select(*keys).distinct()
-    return first.join(target.select(*keys), keys, "left_anti")
-
-
-KEY_SAMPLE = 64  # sampled keys per bucket boundary
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    absent = first.filter(whole).join(target.select(*keys), keys, "left_anti")
+    if not any(new.schema[k].nullable for k in keys):
+        return absent
+    held = target.filter(~whole).select(*[F.col(k).alias(f"_held_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
+    return absent.unionByName(first.filter(~whole).join(held, same, "left_anti"))
 
 
 def assign_surrogate_key(df: DataFrame, order_cols: Sequence[str], id_col: str = "id",
                          start: int | Column = 1, partitions: int | None = None) -> DataFrame:
     """Dense ids ``start, start+1, ...`` following the total order ``order_cols``.
 
-    Boundary values, read once from a bounded sample, cut the order into buckets; a
-    row's bucket is a comparison with these literals, so every branch of the plan
-    agrees on it.  Rows are counted per bucket, the counts become offsets (one row per
-    bucket, broadcast), and a row adds its position in its own bucket.  No step gathers
-    the rows into one task.  ``order_cols`` must be unique, so recomputation after an
-    executor loss assigns the same ids.
+    Cut points, read once from a bounded sample, split the order into buckets; a row finds
+    its bucket by binary search in these literals, so every branch of the plan agrees on
+    it and a row's cost does not depend on the number of buckets.  Rows are counted per
+    bucket, the counts become offsets (one row per bucket, broadcast), and a row adds its
+    position in its own bucket.  No step gathers the rows into one task.  ``order_cols``
+    must be unique, so recomputation after an executor loss assigns the same ids.
     """
     n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = df.select(*order_cols)
-    sample = sorted(tuple(r) for r in keys.orderBy(F.xxhash64(*order_cols)).limit(KEY_SAMPLE * n).collect())
-    cuts = sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
-    row = F.struct(*order_cols)
-    bounds = [F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order_cols, cut)]) for cut in cuts]
-    bucket = F.size(F.filter(F.array(*bounds), lambda b: b <= row)) if bounds else F.lit(0)
-    tagged = df.withColumn("_bucket", bucket)
-    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    cuts = cut_points(df, order_cols, n)
+    counts = (with_bucket(df.select(*order_cols), order_cols, cuts, "_bucket")
+              .groupBy(F.col("_bucket").alias("_of")).agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_of", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     base = start if isinstance(start, Column) else F.lit(start)
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols)) - 1
-    return (tagged.withColumn("_pos", inside).join(F.broadcast(offsets), "_bucket")
+    return (with_bucket(df, order_cols, cuts, "_bucket").withColumn("_pos", inside)
+            .join(F.broadcast(offsets), F.col("_bucket") == F.col("_of"))
             .withColumn(id_col, (base + F.col("_off") + F.col("_pos")).cast("long"))
-            .drop("_bucket", "_pos", "_off"))
+            .drop("_bucket", "_pos", "_of", "_off"))
 
 
 def next_id_after(existing: DataFrame, id_col: str) -> Column:
