@@ -4,13 +4,13 @@ the border's failures open up, until nothing new is frequent."""
 
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesnet.llm.common import out_batch, pieces, scramble, shared_folder, text_of
@@ -20,8 +20,8 @@ MAX_WORDS = 3               # words of the longest candidate
 TOP = 2000                  # phrases reported per language
 COVERED_PERCENT = 50        # a longer candidate this frequent drops the phrases inside it
 SAMPLE_BYTES = 32 << 20     # expected text of the sample
-FILTER_BITS = 26            # log2 of the bits that hold one level's proposed phrases
-SPLIT_BYTES = 16 << 20      # text counted at once
+FILTER_BITS = 26            # log2 of the bits that hold the proposed phrases
+SPLIT_BYTES = 8 << 20       # text counted at once
 UNKNOWN = "und"
 
 BREAKS = ".,;:!?\n\x0b\x0c\r"
@@ -57,7 +57,7 @@ def words_in_pieces(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     stops[edges - 1] = inside[edges - 1]
     start, stop = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     row = np.searchsorted(ends, start, side="right") - 1
-    piece = np.cumsum(kind == 2)[start]
+    piece = np.cumsum(kind == 2, dtype=np.int32)[start]
     together = np.zeros(len(start), dtype=bool)
     together[:-1] = (piece[1:] == piece[:-1]) & (row[1:] == row[:-1])
     offsets = np.r_[0, np.cumsum(stop - start)].astype(np.int32)
@@ -74,134 +74,167 @@ def _word_hash(words: pa.Array, langs: pa.Array) -> np.ndarray:
     return scramble(hashed(words, 0) + _ODD * hashed(langs, 1)) if len(words) else np.zeros(0, np.uint64)
 
 
-def _longer(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hash of a phrase and the word after it."""
-    return scramble(phrase * _ODD + word)
+def _longer(phrase: np.ndarray, word: np.ndarray, k: int) -> np.ndarray:
+    """Hash of a phrase and the word after it, ``k`` words in all."""
+    return _levelled(scramble(phrase * _ODD + word), k)
+
+
+def _levelled(h: np.ndarray, k: int) -> np.ndarray:
+    """A hash whose last four bits tell how many words the phrase has."""
+    return (h & ~np.uint64(15)) | np.uint64(k)
 
 
 # ---------------------------------------------------------------- sets of phrases, of a fixed size
 
 class PhraseSet:
-    """Phrases of 1, 2, ... words by level, each level a Bloom filter of 2**bits bits.
+    """Hashes of phrases in a Bloom filter of 2**bits bits.
 
     It may hold phrases that were never added, which costs their counting and nothing else:
     whether a phrase is frequent is decided by its exact count alone.
     """
 
-    def __init__(self, levels: int, bits: int):
+    def __init__(self, bits: int, words: np.ndarray | None = None):
         self.bits = bits
-        self.levels = [np.zeros(1 << (bits - 6), dtype=np.uint64) for _ in range(levels)]
-
-    def probes(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mask = np.uint64((1 << self.bits) - 1)
-        return h & mask, (h >> np.uint64(64 - self.bits)) & mask
+        self.words = np.zeros(1 << (bits - 6), dtype=np.uint64) if words is None else words
 
-    def has(self, level: int, h: np.ndarray) -> np.ndarray:
+    def has(self, h: np.ndarray) -> np.ndarray:
         found = np.ones(len(h), dtype=bool)
-        for p in self.probes(h):
-            found &= (self.levels[level][p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+        mask = np.uint64((1 << self.bits) - 1)
+        for p in (h >> np.uint64(4) & mask, h >> np.uint64(64 - self.bits)):
+            found &= (self.words[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
         return found
 
-    def with_phrases(self, frequent: DataFrame) -> "PhraseSet":
-        """This set and the phrases (lang, words, phrase).  The bits are set in tasks; what
-        reaches the driver has a row per 64 bits at most."""
-        levels, empty = len(self.levels), PhraseSet(0, self.bits)
-        schema = pa.schema([("level", pa.int32()), ("at", pa.int64()), ("word", pa.int64())])
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                words = batch.column(1).to_numpy()
-                for k in np.unique(words).tolist():
-                    mine = batch.filter(pa.array(words == k))
-                    lists = pc.split_pattern(mine.column(2), " ")
-                    langs = mine.column(0).take(pc.list_parent_indices(lists))
-                    each = _word_hash(lists.flatten(), langs).reshape(-1, k)
-                    h = each[:, 0]
-                    for i in range(1, k):
-                        h = _longer(h, each[:, i])
-                    p = np.concatenate(empty.probes(h))
-                    at = p >> np.uint64(6)
-                    word = np.uint64(1) << (p & np.uint64(63))
-                    order = np.argsort(at)
-                    places, first = np.unique(at[order], return_index=True)
-                    yield out_batch(schema, level=np.full(len(places), k - 1, np.int32), at=places.astype(np.int64),
-                                    word=np.bitwise_or.reduceat(word[order], first).view(np.int64))
-
-        rows = (frequent.filter(F.col("words").between(1, levels)).select("lang", "words", "phrase")
-                .mapInArrow(run, "level int, at long, word long")
-                .groupBy("level", "at").agg(F.bit_or("word").alias("word")).toArrow())
-        out = PhraseSet(levels, self.bits)
-        out.levels = [x.copy() for x in self.levels]
-        level, at, word = (rows.column(i).to_numpy() for i in range(3))
-        for k in range(levels):
-            here = level == k
-            out.levels[k][at[here]] |= word[here].view(np.uint64)
-        return out
-
-    def same(self, other: "PhraseSet") -> bool:
-        return all(np.array_equal(a, b) for a, b in zip(self.levels, other.levels))
+    def with_hashes(self, hashes: DataFrame) -> "PhraseSet":
+        """This set and the rows of ``hashes`` (h).  Bits are gathered by built-in
+        aggregates; what reaches the driver has a row per 64 bits at most."""
+        mask = F.lit((1 << self.bits) - 1).cast("long")
+        places = F.array(F.shiftright("h", 4).bitwiseAND(mask), F.shiftrightunsigned("h", 64 - self.bits))
+        rows = (hashes.select(F.explode(places).alias("p"))
+                .groupBy(F.shiftright("p", 6).alias("at"))
+                .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("word")).toArrow())
+        words = self.words.copy()
+        words[rows.column(0).to_numpy()] |= rows.column(1).to_numpy().view(np.uint64)
+        return PhraseSet(self.bits, words)
 
 
 # ---------------------------------------------------------------- counting
 
-def _count_piece(lang: pa.Array, text: pa.Array, max_words: int, now: PhraseSet | None,
-                 before: PhraseSet | None) -> Iterator[pa.RecordBatch]:
-    words, row, together = words_in_pieces(text)
-    if not len(words):
-        return
-    coded = words.dictionary_encode()
-    code, spelled = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
-    langs = lang.dictionary_encode()
-    lang_of = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
-    key, place, code, times = np.unique(lang_of * len(spelled) + code, return_index=True, return_inverse=True, return_counts=True)
-
-    def rows(k: int, at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        parts = [words.take(pa.array(at + i)) for i in range(k)]
-        phrase = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
-        return out_batch(_SCHEMA, lang=langs.dictionary.take(pa.array(lang_of[at])), words=np.full(len(at), k, np.int32),
-                         phrase=phrase, n=n)
-
-    if before is None:  # the first pass: all words, and how many there are
-        yield rows(1, place, times)
-        n = np.bincount(lang_of, minlength=len(langs.dictionary))
-        yield out_batch(_SCHEMA, lang=langs.dictionary, words=np.zeros(len(n), np.int32), phrase=[""] * len(n), n=n)
-    each = _word_hash(words.take(pa.array(place)), langs.dictionary.take(pa.array(lang_of[place])))[code]
-    h = each
-    # at[i]: phrases of k words start there whose parts are proposed; old: so they were before
-    at = np.arange(len(code))
-    for k in range(2, max_words + 1):
-        proposed = np.ones(len(at), bool) if now is None else now.has(k - 2, h[at])
-        old = np.zeros(len(at), bool) if before is None else before.has(k - 2, h[at])
-        good = np.zeros(len(code) + 1, dtype=np.int8)  # 0: not proposed, 1: proposed now, 2: before
-        good[at[proposed]] = 1
-        good[at[proposed & old]] = 2
-        start = at[(good[at] > 0) & (good[at + 1] > 0) & together[at + k - 2]]
-        start = start[start + k <= len(code)]
-        h = h.copy()
-        h[start] = _longer(h[start], each[start + k - 1])
-        fresh = start[(good[start] < 2) | (good[start + 1] < 2)]
-        if len(fresh):
-            g = code[fresh]
+class Grams:
+    """The words of some texts with a code per (language, word), and their phrases."""
+
+    def __init__(self, lang: pa.Array, text: pa.Array):
+        self.words, row, self.together = words_in_pieces(text)
+        coded = self.words.dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        langs = lang.dictionary_encode()
+        self.langs = langs.dictionary
+        self.lang_of = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
+        size = len(coded.dictionary) * len(self.langs)
+        key = self.lang_of * len(coded.dictionary) + code
+        if size <= 16 * len(key):
+            seen = np.bincount(key, minlength=size)
+            distinct = np.flatnonzero(seen)
+            self.times, place = seen[distinct], np.zeros(size, dtype=np.int64)
+            place[distinct] = np.arange(len(distinct))
+            self.code = place[key]
+        else:
+            distinct, self.code, self.times = np.unique(key, return_inverse=True, return_counts=True)
+        spelled = coded.dictionary.take(pa.array(distinct % max(len(coded.dictionary), 1)))
+        tongue = self.langs.take(pa.array(distinct // max(len(coded.dictionary), 1)))
+        self.hashes = _levelled(_word_hash(spelled, tongue), 1)
+
+    def longer(self, start: np.ndarray, k: int) -> np.ndarray:
+        """Of the starts of k - 1 words, those that go on to a k-th in the same piece."""
+        start = start[self.together[start + k - 2]]
+        return start[start + k <= len(self.code)]
+
+    def admitted(self, max_words: int, now: PhraseSet | None, before: PhraseSet | None) -> Iterator[np.ndarray]:
+        """Hashes, one per occurrence, of the phrases of 2 to ``max_words`` words both of
+        whose parts (without the last, without the first word) are in ``now`` and not both
+        in ``before``."""
+        n = len(self.code)
+        every = np.full(len(self.hashes), 1, np.int8)  # 0: not proposed, 1: proposed now, 2: before
+        if now is not None:
+            every = now.has(self.hashes).astype(np.int8)
+            if before is not None:
+                every[before.has(self.hashes)] = 2
+        each = self.hashes[self.code]
+        state, h, at = np.append(every[self.code], np.int8(0)), each.copy(), np.arange(n)
+        for k in range(2, max_words + 1):
+            start = self.longer(at[(state[at] > 0) & (state[at + 1] > 0)], k)
+            if not len(start):
+                return
+            h[start] = _longer(h[start], each[start + k - 1], k)
+            yield h[start[(state[start] < 2) | (state[start + 1] < 2)]]
+            if k == max_words:
+                return
+            state = np.zeros(n + 1, dtype=np.int8)
+            if now is None:
+                state[start] = 1
+            else:
+                state[start[now.has(h[start])]] = 1
+                if before is not None:
+                    state[start[before.has(h[start])]] = 2
+            at = start
+
+    def named(self, max_words: int, chosen: PhraseSet) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(words, a place, occurrences here) of each phrase that ``chosen`` may hold, told
+        apart by its words, not its hash."""
+        each = self.hashes[self.code]
+        h, at = each.copy(), np.arange(len(self.code))
+        for k in range(1, max_words + 1):
+            if k > 1:
+                at = self.longer(at, k)
+                h[at] = _longer(h[at], each[at + k - 1], k)
+            here = at[chosen.has(h[at])]
+            if not len(here):
+                continue
+            g = self.code[here]
+            _, first, g, times = np.unique(g, return_index=True, return_inverse=True, return_counts=True)
             for i in range(1, k):
-                _, first, g, n = np.unique(g * len(key) + code[fresh + i], return_index=True, return_inverse=True,
-                                           return_counts=True)
-            yield rows(k, fresh[first], n)
-        at = start
-        if not len(at):
-            return
-
-
-def count_phrases(texts: DataFrame, max_words: int, now: PhraseSet | None = None, before: PhraseSet | None = None) -> DataFrame:
-    """(lang, words, phrase, n): exact counts, summed over the table, of the phrases whose
-    two parts without the last or the first word are both in ``now`` (all, if None) and
-    not both in ``before``; in the first pass (``before`` None) also of all words, and with
-    0 words the number of words of a language."""
+                _, first, g, times = np.unique(g * len(self.hashes) + self.code[here + i], return_index=True,
+                                               return_inverse=True, return_counts=True)
+            yield k, here[first], times
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
+    for batch in pieces(batches, "text", SPLIT_BYTES):
+        grams = Grams(text_of(batch, "lang"), text_of(batch))
+        if len(grams.words):
+            yield grams
+
+
+def hashed_counts(texts: DataFrame, max_words: int, now: PhraseSet | None = None, before: PhraseSet | None = None) -> DataFrame:
+    """(h, n): occurrences by hash, so never less than a phrase's own, of the phrases that
+    ``Grams.admitted`` gives and, in the first pass (``before`` None), of all words."""
     shared = texts.sparkSession.sparkContext.broadcast((now, before))
+    schema = pa.schema([("h", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = shared.value
-        for batch in pieces(batches, "text", SPLIT_BYTES):
-            yield from _count_piece(text_of(batch, "lang"), text_of(batch), max_words, now, before)
+        for grams in _grams(batches):
+            if before is None:
+                yield out_batch(schema, h=grams.hashes.view(np.int64), n=grams.times)
+            for found in grams.admitted(max_words, now, before):
+                h, n = np.unique(found, return_counts=True)
+                yield out_batch(schema, h=h.view(np.int64), n=n)
+
+    return texts.select("lang", "text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def named_counts(texts: DataFrame, max_words: int, chosen: PhraseSet) -> DataFrame:
+    """(lang, words, phrase, n): exact occurrences of every phrase that ``chosen`` holds, and
+    with 0 words the number of words of a language."""
+    shared = texts.sparkSession.sparkContext.broadcast(chosen)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for grams in _grams(batches):
+            n = np.bincount(grams.lang_of, minlength=len(grams.langs))
+            yield out_batch(_SCHEMA, lang=grams.langs, words=np.zeros(len(n), np.int32), phrase=[""] * len(n), n=n)
+            for k, at, n in grams.named(max_words, shared.value):
+                parts = [grams.words.take(pa.array(at + i)) for i in range(k)]
+                yield out_batch(_SCHEMA, lang=grams.langs.take(pa.array(grams.lang_of[at])), words=np.full(len(at), k, np.int32),
+                                phrase=pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0], n=n)
 
     return (texts.select("lang", "text").mapInArrow(run, COUNTS)
             .groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")))
@@ -217,9 +250,12 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     pass counts the proposal and its negative border: the phrases all of whose parts are
     proposed.  Frequent phrases of the border that were not proposed are its failures; they
     join the proposal, and the next pass counts the phrases that this newly admits.
-    Without failures the result is closed, after ``max_words`` passes at the latest.
-    Counts are summed per task before they are shuffled and a pass's result, the
-    frequent phrases alone, is written to the shared folder.
+    Without failures the proposal is closed, after ``max_words`` passes at the latest.
+
+    These passes count 64-bit hashes, summed per task before they are shuffled; a hash's
+    count is a phrase's own or more, so no frequent phrase is missed.  A last pass counts
+    the phrases with frequent hashes by their words, which makes the result exact.  Only
+    frequent rows are written, to the shared folder.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
@@ -227,17 +263,21 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     share = min(1.0, sample_bytes / size) if size else 1.0
     lowered = min_count if share == 1 else max(2, int(0.5 * share * min_count))
     sample = texts if share == 1 else texts.filter(F.rand(7) < share)
-    proposed = count_phrases(sample, max_words - 1).filter(F.col("n") >= lowered)
-    now, before = PhraseSet(max_words - 1, filter_bits).with_phrases(proposed), None
+    proposed = hashed_counts(sample, max_words - 1).filter(F.col("n") >= lowered)
+    now, before = PhraseSet(filter_bits).with_hashes(proposed), None
     folder, found = shared_folder(spark, "phrases"), []
     while True:
-        path = f"{folder}/pass{len(found)}"
-        count_phrases(texts, max_words, now, before).filter(F.col("n") >= min_count).write.parquet(path)
-        found.append(path)
-        grown = now.with_phrases(spark.read.parquet(path))
-        if grown.same(now):
-            return spark.read.parquet(*found)
+        found.append(f"{folder}/pass{len(found)}")
+        hashed_counts(texts, max_words, now, before).filter(F.col("n") >= min_count).write.parquet(found[-1])
+        extensible = spark.read.parquet(found[-1]).filter(F.col("h").bitwiseAND(F.lit(15)) < max_words)
+        grown = now.with_hashes(extensible)
+        if np.array_equal(grown.words, now.words):
+            break
         now, before = grown, now
+    chosen = PhraseSet(filter_bits).with_hashes(spark.read.parquet(*found))
+    (named_counts(texts, max_words, chosen).filter((F.col("n") >= min_count) | (F.col("words") == 0))
+     .write.parquet(f"{folder}/frequent"))
+    return spark.read.parquet(f"{folder}/frequent")
 
 
 # ---------------------------------------------------------------- collocations
