@@ -27,6 +27,8 @@ PRIOR = 2.0            # weight of the unigram in a smoothed bigram
 STEP = 12.0 / 65535    # log10 probabilities are kept as multiples of this
 SPLIT = 8              # parts a context's bigrams are dealt over (by word id), so a hot context is several tasks
 FLUSH = 3_000_000      # different n-grams a task holds before it sends them on
+SHARD_TEXT = 128 << 20 # training text per level-1 shard, so that shards follow the model's size
+SCORE_BYTES = 8 << 20  # text whose different bigrams are looked up together
 END = xxhash.xxh64_intdigest(b"\n")  # no word holds white space
 _U64 = np.uint64
 
@@ -196,11 +198,9 @@ class Trie:
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word id or -1, training count) of word hashes."""
         ids, counts = np.full(len(hashes), -1, dtype=np.int64), np.zeros(len(hashes), dtype=np.int64)
-        shard = shard_of(hashes, self.shards)
-        for s in np.unique(shard):
+        for s, own in by_shard(shard_of(hashes, self.shards)):
             if not self.sizes[s]:
                 continue
-            own = np.flatnonzero(shard == s)
             a = self._shard(f"words-{s}")
             at = EliasFano.view(a, "hash").find(hashes[own] - _U64(shard_start(int(s), self.shards)))
             own, at = own[at >= 0], at[at >= 0]
@@ -209,9 +209,7 @@ class Trie:
 
     def counts_of(self, ids: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ids), dtype=np.int64)
-        shard = np.searchsorted(self.base, ids, side="right") - 1
-        for s in np.unique(shard):
-            own = shard == s
+        for s, own in by_shard(np.searchsorted(self.base, ids, side="right") - 1):
             out[own] = self._shard(f"words-{s}")["count"][ids[own] - self.base[s]]
         return out
 
@@ -231,11 +229,9 @@ class Trie:
     def bigrams(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """log10 probability of seen bigrams, NaN for others."""
         out = np.full(len(context), np.nan)
-        part = self.part_of(context, word)
-        for p in np.unique(part):
-            if not self.level2.get(int(p)):
+        for p, own in by_shard(self.part_of(context, word)):
+            if not self.level2.get(p):
                 continue
-            own = np.flatnonzero(part == p)
             a = self._shard(f"bigrams-{p}")
             contexts, pointers, ids = (EliasFano.view(a, n) for n in ("context", "pointer", "id"))
             at = contexts.find(context[own].astype(_U64))
@@ -250,6 +246,14 @@ class Trie:
         return out
 
 
+def by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places of its items) of each shard that occurs, by one sort."""
+    order = np.argsort(shard, kind="stable")
+    starts = np.flatnonzero(np.r_[True, shard[order[1:]] != shard[order[:-1]]]) if len(order) else order
+    for a, b in zip(starts, [*starts[1:], len(order)]):
+        yield int(shard[order[a]]), order[a:b]
+
+
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     """Shards are ranges of the hash, so ids follow the order of the hashes."""
     return ((hashes >> _U64(40)).astype(np.int64) * shards) >> 24
@@ -313,7 +317,9 @@ def _counted(count_piece, shard_of_key):
             keys, counts, shard = keys[order], counts[order], shard[order]
             starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
             for a, b in zip(starts, np.r_[starts[1:], len(shard)]):
-                n = np.minimum(counts[a:b], 0xFFFFFFFF).astype("<u4")
+                if counts[a:b].max() >= 1 << 32:
+                    raise OverflowError("an n-gram occurs 2**32 times or more in one task")
+                n = counts[a:b].astype("<u4")
                 yield out_batch(_BLOB_SCHEMA, shard=[int(shard[a])], n=[b - a], keys=[_planes(keys[a:b])],
                                 counts=[np.ascontiguousarray(n.view(np.uint8).reshape(-1, 4).T).tobytes()])
 
@@ -345,13 +351,14 @@ def train(docs: DataFrame) -> Trie:
 
     Two counting jobs: words, then bigrams of word ids.  Tasks count what they read, send
     one compact block per shard, and one task per shard merges, smooths, and writes the
-    shard.  Only shard sizes come to the driver.  The number of shards follows
-    ``spark.sql.shuffle.partitions``.
+    shard.  Only shard sizes come to the driver.  The number of shards follows the amount
+    of training text (``SHARD_TEXT``), so that looking up a piece of text costs the same
+    whatever the cluster's settings.
     """
     spark = docs.sparkSession
-    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     folder = shared_folder(spark, "ngram-trie")
     texts = docs.filter(F.coalesce(id_remainder("doc_id", FOLD) != HELD, F.lit(False))).select("text")
+    shards = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_TEXT
 
     def words(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hashes, _, code, _ = _tokens(text)
@@ -439,7 +446,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = shared.value
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", SCORE_BYTES):
             hashes, owner, code, before = _tokens(text_of(batch))
             n = batch.num_rows
             ids, counts = trie.ids(hashes)
