@@ -8,7 +8,7 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesnet.llm.common import checkpointed, fresh, out_batch, pieces, text_of
@@ -56,16 +56,18 @@ def _fingerprints(texts: list[str], width: int) -> list[str]:
     return [f"{x:016x}" for x in out.tolist()]
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) of every document.  A text with fewer than
-    ``width`` words is one shingle; one without words has fingerprint zero."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.string())])
+def fingerprints(docs: DataFrame, width: int = SHINGLE, *keep: str) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) of every document, and its long columns ``keep``.
+    A text with fewer than ``width`` words is one shingle; one without words has fingerprint zero."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.string()), *[(c, pa.int64()) for c in keep]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            yield out_batch(schema, doc_id=batch.column(0), fingerprint=_fingerprints(text_of(batch).to_pylist(), width))
+            yield out_batch(schema, doc_id=batch.column(0), fingerprint=_fingerprints(text_of(batch).to_pylist(), width),
+                            **{c: batch.column(2 + i) for i, c in enumerate(keep)})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return docs.select(F.col("doc_id").cast("long"), "text", *keep).mapInArrow(
+        run, ", ".join(["doc_id long, fingerprint string", *[f"{c} long" for c in keep]]))
 
 
 def _hamming(a: Column, b: Column) -> Column:
@@ -167,20 +169,43 @@ def simhash_components(docs: DataFrame, width: int = SHINGLE, apart: int = MAX_B
     """
     prints = checkpointed(fingerprints(docs, width).withColumn(
         "f", F.conv(F.col("fingerprint"), 16, -10).cast("long")))
-    classes = prints.groupBy("f").agg(F.min("doc_id").alias("first_id"))
-    links = fingerprint_links(classes.select("f"), apart)
-    parts = connected_components(links, "a", "b")
-    labelled = (classes.join(parts, F.col("f") == F.col("node"), "left")
-                .select("f", F.coalesce("component", "f").alias("c"), "first_id"))
+    labelled = _component_classes(prints, apart)
     smallest = labelled.groupBy("c").agg(F.min("first_id").alias("component_id"))
     of_class = labelled.join(smallest, "c").select("f", "component_id")
     return prints.join(of_class, "f").select("doc_id", "fingerprint", "component_id")
 
 
+def _component_classes(prints: DataFrame, apart: int, *of_class: Column) -> DataFrame:
+    """(f, c, first_id, ...): each fingerprint, the smallest one its links reach, its
+    smallest id, and further aggregates of its rows."""
+    classes = prints.groupBy("f").agg(F.min("doc_id").alias("first_id"), *of_class)
+    links = fingerprint_links(classes.select("f"), apart)
+    parts = connected_components(links, "a", "b")
+    return (classes.join(parts, F.col("f") == F.col("node"), "left")
+            .withColumn("c", F.coalesce("component", "f")).drop("node", "component"))
+
+
+def _id_text(doc_id: str) -> Column:
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit("none"))
+
+
 def without_near_copies(docs: DataFrame, width: int = SHINGLE, apart: int = MAX_BITS) -> DataFrame:
-    """One document of each group: the one with the group's smallest id (all columns).
-    Rows that repeat that id stay; rows without id stay only if their group has no id."""
-    groups, name = simhash_components(docs, width, apart), fresh("_keep_id", docs)
-    keep = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias(name)).distinct())
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
+    """Exactly one document of each group (all columns): of the rows with the group's
+    smallest id (rows without id last), one with that id's smallest fingerprint.
+
+    Rows are known by id and a hash of the text, so a repeated row stays once, and a row
+    that shares a kept id stays only if its own text was chosen.  Equal rows are reduced in
+    the scan tasks (a rank limit of 1), before texts are shuffled on that key.
+    """
+    key, own, first, at, rank = (fresh(f"_{c}", docs) for c in ("key", "own", "first", "at", "rank_of_equals"))
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    prints = checkpointed(fingerprints(docs.withColumn("text_hash", text_hash), width, "text_hash")
+                          .withColumn("f", F.conv(F.col("fingerprint"), 16, -10).cast("long")))
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    chosen = (_component_classes(prints, apart, smallest.alias("row")).groupBy("c").agg(F.min("row").alias("r"))
+              .select(_id_text("r.doc_id").alias(first), F.col("r.text_hash").alias(at)))
+    others = [F.xxhash64(c) for c, t in docs.dtypes if "map<" not in t and c != "text"]
+    rows = (docs.withColumn(key, _id_text("doc_id")).withColumn(own, text_hash)
+            .withColumn(rank, F.row_number().over(Window.partitionBy(key, own).orderBy(*others))).filter(F.col(rank) <= 1))
+    same = (F.col(key) == F.col(first)) & (F.col(own) == F.col(at))
+    return rows.join(chosen, same, "left_semi").select(*docs.columns)
