@@ -3,6 +3,7 @@ and word streams over Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from typing import Iterator, Sequence
 
@@ -26,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """At most ``rows`` rows of whole texts in one Arrow batch: each batch is held several
+    times, in the JVM and in Python, and both keep what they once needed.  For jobs that run
+    many text operators in one session."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= rows:
+        spark.conf.set(setting, str(rows))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder, lineage cut (reliable, never local)."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -90,18 +100,31 @@ def rank_in_group(df: DataFrame, group: str, order: Sequence[str], out: str,
 # ---------------------------------------------------------------- Arrow batches
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Row slices of the batches with about ``limit`` bytes in ``column`` each (one row at least)."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        size = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
-        total = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))
-        start = 0
-        while start < batch.num_rows:
-            base = total[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(total, base + limit, side="right")))
-            yield batch.slice(start, stop - start)
-            start = stop
+    """Row slices of the batches with about ``limit`` bytes in ``column`` each (one row at
+    least).  When the batches end, with the task, memory that is free goes back to the system."""
+    try:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            size = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+            total = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))
+            start = 0
+            while start < batch.num_rows:
+                base = total[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(total, base + limit, side="right")))
+                yield batch.slice(start, stop - start)
+                start = stop
+    finally:
+        release_memory()
+
+
+def release_memory() -> None:
+    """Give back what a task leaves free in a Python worker that lives on: Arrow's pool and
+    the C heap (where the C library can)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def text_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

@@ -17,7 +17,8 @@ from salesnet.llm.common import checkpointed, out_batch, pieces, rank_in_group,
 
 CAPACITY = 4096
 SEPARATOR_ID = 1
-CACHE_WORDS = 400_000
+CACHE_BYTES = 24 << 20  # strings and ids that a task keeps, about; twice, for pieces and for words
+_ENTRY_BYTES = 170      # of a cached string beside its characters and ids
 
 _TOKENIZERS: dict = {}
 
@@ -33,15 +34,16 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class IdCache(dict):
-    """Packed ids of a string, filled on first use up to ``CACHE_WORDS`` strings."""
+    """Packed ids of a string, filled on first use up to about ``CACHE_BYTES``."""
 
     def __init__(self, ids_of):
         super().__init__()
-        self.ids_of = ids_of
+        self.ids_of, self.room = ids_of, CACHE_BYTES
 
     def __missing__(self, key: str) -> bytes:
         ids = _packed(self.ids_of(key))
-        if len(self) < CACHE_WORDS:
+        if self.room > 0:
+            self.room -= _ENTRY_BYTES + len(key) + len(ids)
             self[key] = ids
         return ids
 
@@ -54,6 +56,9 @@ class WordCache:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.forget()
+
+    def forget(self) -> None:
         self.pieces, self.words = IdCache(self._piece), IdCache(self._word)
 
     def _word(self, word: str) -> list[int]:
@@ -88,6 +93,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, step = word_cache(tokenizer_path), 4 * capacity
+        cache.forget()  # a worker that lives on holds one task's strings, no more
         for batch in pieces(batches, "text"):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), text_of(batch).to_pylist()):
@@ -97,6 +103,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
                     rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part)))
             cols = list(zip(*rows))
             yield out_batch(schema, **{f.name: c for f, c in zip(schema, cols)})
+        cache.forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
 
