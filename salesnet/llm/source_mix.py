@@ -14,6 +14,7 @@ BLOCK_WORDS = 128
 MAX_EPOCHS = 3
 WEIGHT_CYCLE = (1, 2, 3)
 SLOT_CHUNK = 1 << 14
+FEW_BLOCKS = 64  # a source with fewer blocks to take does without the schedule
 
 
 def capped_targets(sizes: DataFrame, cycle: Sequence[int] = WEIGHT_CYCLE, epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -80,16 +81,20 @@ def mix(docs: DataFrame, cycle: Sequence[int] = WEIGHT_CYCLE, epochs: int = MAX_
     Output: doc_id, size, source_size, target, taken.
 
     1. Sizes per source (partial aggregate) and their capped targets.
-    2. ``total / block_words`` slots, each mapped to a source by a golden-ratio point
-       through the cumulative targets; slots are ranked per source.
-    3. A source's documents are shuffled by a hash, laid end to end (prefix sums over
+    2. A source's documents are shuffled by a hash, laid end to end (prefix sums over
        hash buckets, so a source with a third of the rows is many tasks) and cut into
-       blocks of ``block_words`` words; the k-th slot of a source takes its block k
-       modulo its number of blocks.  Uses per block and the pieces of documents in the
-       block meet in an equi-join on (source, block).
-
-    A block is used ``epochs`` times at most, so no document is taken more often.  A
-    target is met to a few blocks.  NULL text has size 0 and takes nothing; NULL
+       equal blocks of about ``block_words`` words (its size / its number of blocks).
+       Its target is a whole number of blocks, its quota.
+    3. Slots, each mapped to a source by a golden-ratio point through the cumulative
+       quotas, are ranked per source; the k-th slot of a source takes its block k modulo
+       its number of blocks.  There are an eighth more slots than blocks to take, and a
+       source stops at its quota; a source whose quota is below ``FEW_BLOCKS`` is too thin for the
+       points to meet it exactly and takes its quota in the same order without them.
+       Uses per block and the pieces of documents in the block meet in an equi-join on
+       (source, block).
+
+    A block is used ``epochs`` times at most, so no document is taken more often.  Every
+    target is met to half a block.  NULL text has size 0 and takes nothing; NULL
     sources are one source, ordered last; repeated rows count separately; an empty
     table gives no rows; other columns are ignored.  The result depends on ids and
     sizes only, so reruns agree.
@@ -98,27 +103,46 @@ def mix(docs: DataFrame, cycle: Sequence[int] = WEIGHT_CYCLE, epochs: int = MAX_
     sizes = plain.groupBy("_src").agg(F.sum("size").alias("source_size"))
     targets = capped_targets(sizes.withColumn("source", F.when(F.col("_src") != "n", F.expr("substring(_src, 2)"))),
                              cycle, epochs).withColumn("_src", _group_name())
+    # blocks: the first _longer ones hold _block + 1 words, the others _block
+    targets = (targets.withColumn("_n", F.ceil(F.col("source_size") / block_words))
+               .withColumn("_quota", F.round(F.col("target") * F.col("_n") / F.nullif("source_size", F.lit(0))))
+               .withColumn("_block", F.expr("source_size div nullif(_n, 0)"))
+               .withColumn("_longer", F.expr("source_size % nullif(_n, 0)")))
     every = Window.partitionBy(F.lit(1))
     upto = Window.orderBy("_src").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    targets = checkpointed(targets.drop("source")
-                           .withColumn("_hi", F.sum("target").over(upto)).withColumn("_all", F.sum("target").over(every)))
-    total = plain.agg(F.sum("size")).first()[0] or 0
-    shares = targets.filter(F.col("target") > 0).select(
-        F.col("_src").alias("source"), F.greatest((F.col("_hi") - F.col("target")) / F.col("_all"), F.lit(0.0)).alias("lo"),
+    many = F.when(F.col("_quota") >= FEW_BLOCKS, F.col("_quota")).otherwise(0.0)
+    targets = checkpointed(targets.drop("source").withColumn("_share", many)
+                           .withColumn("_hi", F.sum("_share").over(upto)).withColumn("_all", F.sum("_share").over(every)))
+    total = targets.agg(F.sum("_share")).first()[0] or 0
+    shares = targets.filter(F.col("_share") > 0).select(
+        F.col("_src").alias("source"), F.greatest((F.col("_hi") - F.col("_share")) / F.col("_all"), F.lit(0.0)).alias("lo"),
         (F.col("_hi") / F.col("_all")).alias("hi"))
-    slots = source_slots(shares, docs.sparkSession, -(-int(total) // block_words))
-    blocks = targets.select(F.col("_src").alias("source"), F.ceil(F.col("source_size") / block_words).alias("n_blocks"))
-    uses = (slots.join(blocks, "source").filter(F.col("rank") < F.col("n_blocks") * epochs)
-            .groupBy(F.col("source").alias("_us"), (F.col("rank") % F.col("n_blocks")).alias("_ub"))
+    slots = source_slots(shares, docs.sparkSession, int(total) + -(-int(total) // 8))
+    quotas = targets.select(F.col("_src").alias("_qs"), F.col("_n").alias("n_blocks"), F.col("_quota").cast("long").alias("quota"))
+    drawn = (slots.join(quotas, F.col("source") == F.col("_qs")).filter(F.col("rank") < F.col("quota"))
+             .select("source", "rank", "n_blocks"))
+    few = (quotas.filter((F.col("quota") > 0) & (F.col("quota") < FEW_BLOCKS))
+           .select(F.col("_qs").alias("source"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1)).alias("rank"), "n_blocks"))
+    uses = (drawn.unionByName(few).groupBy(F.col("source").alias("_us"), (F.col("rank") % F.col("n_blocks")).alias("_ub"))
             .agg(F.count(F.lit(1)).alias("uses")))
     laid = rank_in_group(plain.filter(F.col("size") > 0), "_src", ["doc_id", "size"], "at", running="size")
-    parts = laid.select("_src", "doc_id", "size", "at", F.explode(F.sequence(
-        F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words))).alias("block"))
-    inside = (F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block_words)
-              - F.greatest(F.col("at"), F.col("block") * block_words))
-    taken = (parts.join(uses, (F.col("_src") == F.col("_us")) & (F.col("block") == F.col("_ub")), "left")
+    cut = targets.select(F.col("_src").alias("_cs"), "_block", "_longer")
+
+    def block_of(word: str) -> Column:
+        return F.expr(f"IF({word} < _longer * (_block + 1), ({word}) div (_block + 1), "
+                      f"_longer + ({word} - _longer * (_block + 1)) div _block)")
+
+    # sources are few beside documents: the planner broadcasts them by their size, or AQE splits a hot one
+    parts = (laid.join(cut, F.col("_src") == F.col("_cs"))
+             .select("_src", "doc_id", "size", "at", "_block", "_longer",
+                     F.explode(F.sequence(block_of("at"), block_of("at + size - 1"))).alias("block")))
+    start = F.expr("block * _block + least(block, _longer)")
+    stop = F.expr("(block + 1) * _block + least(block + 1, _longer)")
+    inside = F.least(F.col("at") + F.col("size"), stop) - F.greatest(F.col("at"), start)
+    taken = (parts.withColumn("_inside", inside)
+             .join(uses, (F.col("_src") == F.col("_us")) & (F.col("block") == F.col("_ub")), "left")
              .groupBy("_src", "at", "doc_id", "size")
-             .agg(F.coalesce(F.sum(inside * F.col("uses")), F.lit(0)).cast("long").alias("taken")).drop("at"))
+             .agg(F.coalesce(F.sum(F.col("_inside") * F.col("uses")), F.lit(0)).cast("long").alias("taken")).drop("at"))
     empty = plain.filter(F.col("size") == 0).select("_src", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
     return (taken.unionByName(empty).join(targets.select("_src", "source_size", "target"), "_src")
             .select("doc_id", "size", "source_size", "target", "taken"))
