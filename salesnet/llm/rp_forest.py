@@ -259,9 +259,10 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, trees
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     good = rows.filter("usable").drop("usable").withColumn("h", F.xxhash64("label", "v"))
     classes = checkpointed(good.groupBy("h", "label", "v").agg(
-        F.min("vec_id").alias("class_id"), F.count(F.lit(1)).alias("copies")))
+        F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("class_id", F.monotonically_increasing_id()))  # ids may repeat with other vectors, classes not
     total = {r[0]: r[1] for r in classes.groupBy(F.size("v")).agg(F.count(F.lit(1))).collect()}
-    sample = classes.orderBy(F.xxhash64("h"), "class_id").limit(FIT_ROWS).select("v", "label").collect()
+    sample = classes.orderBy(F.xxhash64("h"), "first_id").limit(FIT_ROWS).select("v", "label").collect()
     fitted = {}
     for dim, n in total.items():
         own = [r for r in sample if len(r[0]) == dim]
@@ -278,11 +279,13 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, trees
         _leaf_links(threshold), "class_id long, links long, to long"))
     counts = found.groupBy("class_id").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select("class_id", "to"), "class_id", "to")
-    of_class = (classes.select("h", "label", "v", "class_id", "copies")
+    labelled = (classes.select("h", "label", "v", "class_id", "first_id", "copies")
                 .join(counts, "class_id", "left").join(parts, F.col("class_id") == F.col("node"), "left")
+                .withColumn("c", F.coalesce("component", "class_id")))
+    smallest = labelled.groupBy(F.col("c").alias("_c")).agg(F.min("first_id").alias("component_id"))
+    of_class = (labelled.join(smallest, F.col("c") == F.col("_c"))
                 .select("h", F.col("label").alias("_label"), F.col("v").alias("_v"),
-                        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                        F.coalesce("component", "class_id").alias("component_id")))
+                        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"))
     same = (good["h"] == of_class["h"]) & (F.col("label") == F.col("_label")) & (F.col("v") == F.col("_v"))
     linked = good.join(of_class, same).select("vec_id", "n_links", "component_id")
     alone = rows.filter(~F.col("usable")).select("vec_id", F.lit(0).cast("long").alias("n_links"),
