@@ -9,22 +9,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from salesnet.llm import mil_quality, packing, rules_forest, simhash, source_mix
-from salesnet.llm.common import shared_folder, table
+from salesnet.llm.common import shared_folder, small_batches, table
 from salesnet.llm.queries import tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the isolation forest reject go."""
+    small_batches(spark)
     return rules_forest.passing(docs, table(spark, sf_dir, "labels"))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted to be of quality 0 go."""
+    small_batches(spark)
     return mil_quality.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id."""
+    small_batches(spark)
     return simhash.without_near_copies(docs)
 
 
@@ -35,6 +38,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with the sequence and offset they are packed at."""
+    small_batches(spark)
     return packing.pack(docs, tokenizer_path())
 
 
