@@ -17,7 +17,7 @@ from salesnet.llm.common import checkpointed, out_batch, pieces, rank_in_group,
 
 CAPACITY = 4096
 SEPARATOR_ID = 1
-CACHE_BYTES = 24 << 20  # strings and ids that a task keeps, about; twice, for pieces and for words
+CACHE_BYTES = 48 << 20  # strings and ids that a task keeps, about; twice, for pieces and for words
 _ENTRY_BYTES = 170      # of a cached string beside its characters and ids
 
 _TOKENIZERS: dict = {}
