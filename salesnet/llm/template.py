@@ -342,13 +342,14 @@ def token_vectors(pages: DataFrame, texts: bool = False) -> DataFrame:
     return local.groupBy("host", "token").agg(F.max("above").alias("above"), *[F.sum(c).alias(c) for c in ("pages", "occurrences", "chars", "links", "v1", "v2")])
 
 
-def equivalence_classes(vectors: DataFrame) -> DataFrame:
+def equivalence_classes(vectors: DataFrame, host_pages: DataFrame | None = None) -> DataFrame:
     """(host, host_pages, pages, tokens): the valid classes of each host, tokens grouped by
     equal occurrence vectors.  A class is valid when its tokens reach ``VALID_SHARE`` of
     the host's pages; ``tokens`` is then bounded by the size of a page.  The first class
     (one occurrence on every page) is the template; a class nests in the class that
-    holds the longest prefix of its tokens' paths."""
-    host = vectors.filter(F.col("token") == "").select("host", F.col("pages").alias("host_pages"))
+    holds the longest prefix of its tokens' paths.  ``host_pages``: (host, host_pages) where
+    known without the vectors, so that pages are not parsed again for it."""
+    host = host_pages if host_pages is not None else vectors.filter(F.col("token") == "").select("host", F.col("pages").alias("host_pages"))
     return (vectors.join(host, "host").filter(F.col("pages") >= F.ceil(F.col("host_pages") * VALID_SHARE))
             .groupBy("host", "host_pages", "pages", "occurrences", "v1", "v2")
             .agg(F.collect_list(F.struct("token", "above", "chars", "links")).alias("tokens")))
@@ -397,7 +398,7 @@ def host_templates(pages: DataFrame) -> DataFrame:
     ``MIN_PAGES``, and fills a whole element of ``BOXES``: a paragraph, heading or list of the
     article that repeats is no notice.  Where half of the main text or more recurs, the pages
     are copies of one another and all stays."""
-    classes = equivalence_classes(token_vectors(pages, texts=True))
+    classes = equivalence_classes(token_vectors(pages, texts=True), pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
     per_host = classes.groupBy("host", "host_pages").agg(F.collect_list(F.struct("pages", "occurrences", "tokens")).alias("classes"))
     schema = pa.schema([("host", pa.string()), ("main", pa.string()), ("held", pa.list_(pa.string())),
                         ("repeated", pa.list_(pa.string()))])
