@@ -339,7 +339,7 @@ def token_vectors(pages: DataFrame, texts: bool = False) -> DataFrame:
 
     local = pages.select("page_id", "host", "html").mapInArrow(
         run, "host string, token string, above string, pages long, occurrences long, chars long, links long, v1 long, v2 long")
-    return local.groupBy("host", "token").agg(F.max("above").alias("above"), *[F.sum(c).alias(c) for c in ("pages", "occurrences", "chars", "links", "v1", "v2")])
+    return local.groupBy("host", "token", "above").agg(*[F.sum(c).alias(c) for c in ("pages", "occurrences", "chars", "links", "v1", "v2")])
 
 
 def equivalence_classes(vectors: DataFrame, host_pages: DataFrame | None = None) -> DataFrame:
