@@ -82,6 +82,7 @@ def table_queries() -> dict[str, Query]:
         "order_sequence": _on_star(tables.order_sequence),
         "repriced_products": _on_star(_repriced),
         "promotion_attach_summary": _on_star(tables.promotion_attach_summary),
+        "promotion_attach_intervals": _on_star(tables.promotion_attach_summary, by_day=False),
         "list_price_financials": _on_star(tables.list_price_financials),
         "distributor_targets": _on_star(tables.distributor_targets),
         "monthly_revenue_report": _on_star(reports.monthly_revenue_report),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from salesnet import schemas
 from salesnet.functions.scalar import DEC, money, safe_pct
-from salesnet.operators import cut_points, day_attach, order_lines, order_totals, resolve_overlaps, with_bucket, with_products
+from salesnet.operators import cut_points, day_attach, interval_attach, order_lines, order_totals, resolve_overlaps, with_bucket, with_products
 from salesnet.params import DEFAULT_PERIOD, Period
 from salesnet.sources.star import TABLE_NAMES, Star
 
@@ -303,10 +303,15 @@ def best_promotion_segments(promotions: DataFrame) -> DataFrame:
                             keep=["promotion_id", "discount_percent"])
 
 
-def attach_promotion(lines: DataFrame, promotions: DataFrame) -> DataFrame:
+def attach_promotion(lines: DataFrame, promotions: DataFrame, by_day: bool = True) -> DataFrame:
     """Left join by day of lines (with ``category`` and ``order_date``) to the
     promotion valid for their category on their date; every line is kept, at
-    most one promotion each (inclusive ends; NULL-category campaigns never match)."""
+    most one promotion each (inclusive ends; NULL-category campaigns never match).
+    ``by_day=False`` joins by interval cells, for campaigns of many years."""
+    if not by_day:
+        segments = best_promotion_segments(promotions).withColumn("seg_stop", F.date_add("seg_end", 1))
+        return interval_attach(lines, segments, "category", "order_date", "seg_start", "seg_stop",
+                               ["promotion_id", "discount_percent"])
     return day_attach(lines, best_promotion_segments(promotions), "category", "order_date",
                         ["promotion_id", "discount_percent"])
 
@@ -395,7 +400,7 @@ def _weighted_totals(priced: DataFrame, keys: Sequence[str]) -> DataFrame:
             .orderBy(*keys))
 
 
-def promotion_attach_summary(star: Star, period: Period | None = None) -> DataFrame:
+def promotion_attach_summary(star: Star, period: Period | None = None, by_day: bool = True) -> DataFrame:
     """R6 on all lines (or those of a window): lines and list-price amounts per attached promotion
     (NULL promotion = no valid campaign).
 
@@ -407,7 +412,7 @@ def promotion_attach_summary(star: Star, period: Period | None = None) -> DataFr
     groups = (order_lines(star, period).groupBy("product_id", "order_date", "quantity_units")
               .agg(F.count(F.lit(1)).alias("n")))
     lines = with_products(groups, star, ["category", "trade_price"])
-    attached = line_financials(attach_promotion(lines, star.promotions))
+    attached = line_financials(attach_promotion(lines, star.promotions, by_day))
     # the id as text: a column with NULLs that reads the same in every client
     return _weighted_totals(attached.withColumn("promotion_id", F.col("promotion_id").cast("string")), ["category", "promotion_id"])
 

@@ -90,7 +90,27 @@ CREATE_ORDER = ["zones", "distributors", "retailers", "products", "promotions",
                 "sales_orders", "sales_order_items"]
 
 
+# Declared column defaults: what a column that the source lacks is filled with.
+DEFAULTS = {"active_status": True, "discount_value": 0}
+
+
+def reading(schema: T.StructType) -> T.StructType:
+    """``schema`` for a file reader: columns that a file lacks read as their declared default,
+    while a NULL that it holds stays a NULL."""
+    return T.StructType([T.StructField(f.name, f.dataType, f.nullable, {
+        "CURRENT_DEFAULT": str(DEFAULTS[f.name]).lower(), "EXISTS_DEFAULT": str(DEFAULTS[f.name]).lower()})
+        if f.name in DEFAULTS else f for f in schema.fields])
+
+
+def with_defaults(df, schema: T.StructType):
+    """``df`` with the declared default in each column of ``schema`` that it lacks."""
+    from pyspark.sql import functions as F
+    missing = [f for f in schema.fields if f.name in DEFAULTS and f.name not in df.columns]
+    return df.withColumns({f.name: F.lit(DEFAULTS[f.name]).cast(f.dataType) for f in missing}) if missing else df
+
+
 def conform(df, schema: T.StructType):
-    """Project ``df`` onto ``schema``: same column order, declared types."""
+    """Project ``df`` onto ``schema``: same column order, declared types, defaults for columns it lacks."""
     from pyspark.sql import functions as F
+    df = with_defaults(df, schema)
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

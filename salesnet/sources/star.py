@@ -84,8 +84,9 @@ def load_star(spark: SparkSession, path: str) -> Star:
 
     The schema is given to the reader (no inference); a file whose column
     types differ fails at read time rather than producing silently cast data.
+    A column that a file lacks reads as its declared default (``schemas.DEFAULTS``).
     """
-    dfs = {name: schemas.conform(spark.read.schema(schema).parquet(f"{path}/{name}"), schema)
+    dfs = {name: schemas.conform(spark.read.schema(schemas.reading(schema)).parquet(f"{path}/{name}"), schema)
            for name, schema in schemas.STAR.items()}
     return Star(**dfs)
 
