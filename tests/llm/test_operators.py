@@ -141,6 +141,23 @@ def test_links_of_planted_clusters_count_once(spark, monkeypatch, leaf):
     assert all(r["component_id"] == comp[r["vec_id"]] for r in got)
 
 
+@pytest.mark.parametrize("cell, fit_rows", [(300, 20_000), (300, 400), (5000, 20_000)])
+def test_links_of_a_label_of_many_cells(spark, monkeypatch, cell, fit_rows):
+    """Groves split a label of 2400 rows into cells; with 400 fitted rows some nodes are block pairs."""
+    for name, value in (("CELL_ROWS", cell), ("FIT_ROWS", fit_rows), ("LEAF_ROWS", 120), ("PAIR_ROWS", 100)):
+        monkeypatch.setattr(rp_forest, name, value)
+    rng = np.random.default_rng(6)
+    x = np.concatenate([np.repeat(rng.standard_normal((300, 32)), 6, axis=0) + 0.2 * rng.standard_normal((1800, 32)),
+                        rng.standard_normal((600, 32))])
+    label = np.where(rng.random(len(x)) < 0.95, 1, 2)
+    v = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist(), "label": label}))
+    links, _ = brute_links(v.collect())
+    got = rp_forest.embedding_components(v).collect()
+    assert len(got) == len(x) and sum(links.values()) > 5000
+    assert all(r["n_links"] <= links[r["vec_id"]] for r in got)
+    assert sum(r["n_links"] for r in got) >= 0.97 * sum(links.values())
+
+
 @pytest.mark.parametrize("fit_rows", [20_000, 1000])
 def test_links_of_a_group_of_several_leaves(spark, monkeypatch, fit_rows):
     """4 x LEAF_ROWS different near copies: splits used to cut the group."""
