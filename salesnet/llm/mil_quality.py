@@ -9,13 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesnet.llm.common import fresh, held_out, id_remainder, out_batch, pieces, text_of, words_of
+from salesnet.llm.common import fresh, held_out, id_remainder, out_batch, pieces, text_of, word_count, words_of
 from salesnet.llm.rules_forest import labelled_rows
 
 PASSAGE_WORDS = 64
 HIDDEN = 16
 FIT_ROWS = 6_000       # bound of the labelled sample the network is fitted on
-FIT_PASSAGES = 90_000  # bound of its passages: whole documents are left out beyond it, in hash order
+FIT_PASSAGES = 90_000  # bound of its passages: a document that would pass it is left out whole, in hash order
 EPOCHS = 250
 KEEP_SCORE = 0.7
 FOLD, HELD = 4, 2
@@ -137,8 +137,24 @@ class GatedAttention:
         return self._forward(self._scaled(x), owner, starts)[-1]
 
 
+def fit_documents(sample: DataFrame) -> list[tuple[int, int]]:
+    """(id, hash of the text) of the sampled documents that fit into ``FIT_PASSAGES``, taken in the
+    order of a hash of the id; one that would pass the bound is left out whole and the next ones
+    are tried.  An id with several texts: the text of the smallest hash."""
+    parts = F.greatest(F.lit(1), F.ceil(word_count("text") / PASSAGE_WORDS)).cast("long")
+    rows = (sample.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+            .agg(F.min(F.struct(F.xxhash64("text").alias("h"), parts.alias("n"))).alias("s"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "s.h", "s.n").collect())
+    room, chosen = FIT_PASSAGES, []
+    for r in rows:
+        if r["n"] <= room:
+            room -= r["n"]
+            chosen.append((r["doc_id"], r["h"]))
+    return chosen
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame) -> GatedAttention:
-    """The network, from labels of at most ``FIT_ROWS`` documents outside the held-out fold."""
+    """The network, from the whole texts of at most ``FIT_ROWS`` labelled documents outside the held-out fold."""
     schema = pa.schema([("doc_id", pa.int64()), ("quality", pa.int64()), ("part", pa.int32()),
                         ("x", pa.list_(pa.float32()))])
 
@@ -151,9 +167,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> GatedAttention:
                             part=part.astype(np.int32), x=pa.array(list(x), type=pa.list_(pa.float32())))
 
     sample = labelled_rows(docs, labels, FIT_ROWS, id_remainder("doc_id", FOLD) != HELD)
-    rows = (sample.select(F.col("doc_id").cast("long"), F.col("quality").cast("long"), "text")
+    chosen = docs.sparkSession.createDataFrame(fit_documents(sample), "_fit_id long, _fit_text long")
+    rows = (sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("long"), "text")
+            .join(F.broadcast(chosen), (F.col("doc_id") == F.col("_fit_id")) & (F.xxhash64("text") == F.col("_fit_text")))
+            .select("doc_id", "quality", "text")
             .mapInArrow(run, "doc_id long, quality long, part int, x array<float>")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "part").limit(FIT_PASSAGES).toPandas())
+            .groupBy("doc_id", "part").agg(F.min("quality").alias("quality"), F.min("x").alias("x"))  # repeated rows once
+            .toPandas().sort_values(["doc_id", "part"]).reset_index(drop=True))
     ids, owner = np.unique(rows["doc_id"].to_numpy(dtype=np.int64), return_inverse=True)
     order = np.argsort(owner, kind="stable")
     x = np.stack(rows["x"].to_numpy()).astype(float)[order] if len(rows) else np.zeros((0, N_FEATURES))
