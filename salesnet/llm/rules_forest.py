@@ -159,9 +159,9 @@ class IsolationForest:
 
 
 def _mean_path(n: np.ndarray) -> np.ndarray:
-    """Expected path length of an unsuccessful search among n rows."""
+    """Expected path length of an unsuccessful search among n rows (0 for an empty leaf)."""
     n = n.astype(float)
-    return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + 0.5772156649) - 2 * (n - 1) / np.maximum(n, 1), n - 1)
+    return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + 0.5772156649) - 2 * (n - 1) / np.maximum(n, 1), np.maximum(n - 1, 0))
 
 
 # ---------------------------------------------------------------- fit and verdict
@@ -224,7 +224,8 @@ def fit_rules(docs: DataFrame, labels: DataFrame) -> tuple[IsolationForest, floa
     """The forest on at most ``FIT_ROWS`` labelled documents of quality 1 that pass the base
     rules, and its threshold on all labelled ones that do."""
     sample = labelled_rows(docs, labels, FIT_ROWS)
-    rows = rule_statistics(sample, "quality").limit(2 * FIT_ROWS).toPandas().sort_values(["doc_id", *STATS])
+    rows = (rule_statistics(sample, "quality").groupBy("doc_id")  # one row an id, whatever repeats
+            .agg(F.min(F.struct("quality", *STATS)).alias("s")).select("doc_id", "s.*").toPandas().sort_values("doc_id"))
     s = {c: rows[c].to_numpy(dtype=np.int64) for c in STATS}
     x, bad, ok = features(s), rows["quality"].to_numpy(dtype=float) == 0, ~_base_failed(s)
     x, bad = x[ok], bad[ok]
@@ -267,7 +268,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     NULL or empty text has no words and fails the base rules.  Without labels of both
     kinds only the base rules reject.  Rows without id are judged like others; repeated
-    rows repeat; an empty table gives no rows; other columns are ignored.
+    rows repeat (the forest takes one row of an id); a score equal to the threshold is
+    kept; an empty table gives no rows; other columns are ignored.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     names = [*STATS[:5], "base_failed", "kept"]
