@@ -168,13 +168,15 @@ class Grams:
             yield h[start[(state[start] < 2) | (state[start + 1] < 2)]]
             if k == max_words:
                 return
+            earlier = start[(state[start] == 2) & (state[start + 1] == 2)]  # counted by an earlier pass
             state = np.zeros(n + 1, dtype=np.int8)
             if now is None:
                 state[start] = 1
             else:
                 state[start[now.has(h[start])]] = 1
                 if before is not None:
-                    state[start[before.has(h[start])]] = 2
+                    # ``before`` may hold by chance what no pass has counted: that is new, as is what it opens up
+                    state[earlier[before.has(h[earlier])]] = 2
             at = start
 
     def named(self, max_words: int, chosen: PhraseSet) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -240,6 +240,16 @@ def test_collocations_with_a_full_filter_and_a_useless_sample(spark, documents):
     assert got == want and len(want) > 100
 
 
+def test_collocations_with_phrases_a_filter_holds_by_chance(spark):
+    """Phrases of words that the sample misses; a filter of 2**14 bits holds some of them unproposed."""
+    rng = np.random.default_rng(0)
+    phrases = [" ".join(f"w{j}" for j in rng.integers(0, 4000, 3)) for _ in range(1500)]
+    lines = rng.permutation(phrases * 12)
+    rows = [(i, ". ".join(lines[i * 20:i * 20 + 20]), "en") for i in range(len(lines) // 20)]
+    got = collocations.frequent_phrases(frame(spark, rows), sample_bytes=60_000, filter_bits=14).filter("words = 3").collect()
+    assert {(r.phrase, r.n) for r in got} == {(p, 12) for p in phrases} and len(got) == 1500
+
+
 def test_collocations_against_sql(spark, documents):
     want = duckdb.sql(collocations.COLLOCATIONS_SQL.replace("FROM documents", f"FROM '{DIR}/documents.parquet'")).fetchall()
     got = collocations.collocations(documents).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
