@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesnet.llm.common import out_batch, pieces, scramble, shared_folder, text_of
+from salesnet.llm.common import batch_bytes, out_batch, pieces, scramble, shared_folder, text_of
 
 MIN_COUNT = 10              # occurrences of a candidate
 MAX_WORDS = 3               # words of the longest candidate
@@ -21,7 +21,7 @@ TOP = 2000                  # phrases reported per language
 COVERED_PERCENT = 50        # a longer candidate this frequent drops the phrases inside it
 SAMPLE_BYTES = 32 << 20     # expected text of the sample
 FILTER_BITS = 26            # log2 of the bits that hold the proposed phrases
-SPLIT_BYTES = 8 << 20       # text counted at once
+SPLIT_BYTES = 4 << 20       # text counted at once: its words and hashes take about 25 times that
 UNKNOWN = "und"
 
 BREAKS = ".,;:!?\n\x0b\x0c\r"
@@ -57,7 +57,7 @@ def words_in_pieces(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     stops[edges - 1] = inside[edges - 1]
     start, stop = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     row = np.searchsorted(ends, start, side="right") - 1
-    piece = np.cumsum(kind == 2, dtype=np.int32)[start]
+    piece = np.searchsorted(np.flatnonzero(kind == 2), start)
     together = np.zeros(len(start), dtype=bool)
     together[:-1] = (piece[1:] == piece[:-1]) & (row[1:] == row[:-1])
     offsets = np.r_[0, np.cumsum(stop - start)].astype(np.int32)
@@ -65,13 +65,15 @@ def words_in_pieces(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, row, together
 
 
-def _word_hash(words: pa.Array, langs: pa.Array) -> np.ndarray:
-    """64-bit hash of (language, word), for two columns of the same length."""
-    def hashed(column: pa.Array, seed: int) -> np.ndarray:
-        coded = column.dictionary_encode()
-        each = [xxhash.xxh64_intdigest(x, seed) for x in coded.dictionary.cast(pa.binary()).to_pylist()]
-        return np.array(each, dtype=np.uint64)[coded.indices.to_numpy(zero_copy_only=False)]
-    return scramble(hashed(words, 0) + _ODD * hashed(langs, 1)) if len(words) else np.zeros(0, np.uint64)
+def _spelling_hash(words: pa.Array) -> np.ndarray:
+    """64-bit hash of each word (none is empty): the sum over its bytes of a mix of place and byte."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    body = np.frombuffer(words.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]]
+    start = ends[:-1] - ends[0]
+    place = np.arange(1, len(body) + 1) - np.repeat(start, np.diff(ends))
+    return np.add.reduceat(scramble((place.view(np.uint64) << np.uint64(8) | body) * _ODD), start)
 
 
 def _longer(phrase: np.ndarray, word: np.ndarray, k: int) -> np.ndarray:
@@ -125,23 +127,24 @@ class Grams:
     def __init__(self, lang: pa.Array, text: pa.Array):
         self.words, row, self.together = words_in_pieces(text)
         coded = self.words.dictionary_encode()
-        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         langs = lang.dictionary_encode()
         self.langs = langs.dictionary
-        self.lang_of = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
-        size = len(coded.dictionary) * len(self.langs)
-        key = self.lang_of * len(coded.dictionary) + code
-        if size <= 16 * len(key):
+        self.lang_of = langs.indices.to_numpy(zero_copy_only=False)[row]
+        spellings = max(len(coded.dictionary), 1)
+        size = spellings * len(self.langs)
+        key = self.lang_of * np.int64(spellings) + coded.indices.to_numpy(zero_copy_only=False)
+        if size <= 4 * len(key):
             seen = np.bincount(key, minlength=size)
             distinct = np.flatnonzero(seen)
-            self.times, place = seen[distinct], np.zeros(size, dtype=np.int64)
-            place[distinct] = np.arange(len(distinct))
+            self.times, place = seen[distinct], np.zeros(size, dtype=np.int32)
+            place[distinct] = np.arange(len(distinct), dtype=np.int32)
             self.code = place[key]
         else:
-            distinct, self.code, self.times = np.unique(key, return_inverse=True, return_counts=True)
-        spelled = coded.dictionary.take(pa.array(distinct % max(len(coded.dictionary), 1)))
-        tongue = self.langs.take(pa.array(distinct // max(len(coded.dictionary), 1)))
-        self.hashes = _levelled(_word_hash(spelled, tongue), 1)
+            distinct, code, self.times = np.unique(key, return_inverse=True, return_counts=True)
+            self.code = code.astype(np.int32)
+        spelled = _spelling_hash(coded.dictionary)
+        tongue = np.array([xxhash.xxh64_intdigest(x, 1) for x in self.langs.cast(pa.binary()).to_pylist()], dtype=np.uint64)
+        self.hashes = _levelled(scramble(spelled[distinct % spellings] + _ODD * tongue[distinct // spellings]), 1)
 
     def longer(self, start: np.ndarray, k: int) -> np.ndarray:
         """Of the starts of k - 1 words, those that go on to a k-th in the same piece."""
@@ -265,20 +268,21 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     share = min(1.0, sample_bytes / size) if size else 1.0
     lowered = min_count if share == 1 else max(2, int(0.5 * share * min_count))
     sample = texts if share == 1 else texts.filter(F.rand(7) < share)
-    proposed = hashed_counts(sample, max_words - 1).filter(F.col("n") >= lowered)
-    now, before = PhraseSet(filter_bits).with_hashes(proposed), None
-    folder, found = shared_folder(spark, "phrases"), []
-    while True:
-        found.append(f"{folder}/pass{len(found)}")
-        hashed_counts(texts, max_words, now, before).filter(F.col("n") >= min_count).write.parquet(found[-1])
-        extensible = spark.read.parquet(found[-1]).filter(F.col("h").bitwiseAND(F.lit(15)) < max_words)
-        grown = now.with_hashes(extensible)
-        if np.array_equal(grown.words, now.words):
-            break
-        now, before = grown, now
-    chosen = PhraseSet(filter_bits).with_hashes(spark.read.parquet(*found))
-    (named_counts(texts, max_words, chosen).filter((F.col("n") >= min_count) | (F.col("words") == 0))
-     .write.parquet(f"{folder}/frequent"))
+    with batch_bytes(spark, SPLIT_BYTES * 7 // 8):  # a batch is one piece, unless a long text ends it
+        proposed = hashed_counts(sample, max_words - 1).filter(F.col("n") >= lowered)
+        now, before = PhraseSet(filter_bits).with_hashes(proposed), None
+        folder, found = shared_folder(spark, "phrases"), []
+        while True:
+            found.append(f"{folder}/pass{len(found)}")
+            hashed_counts(texts, max_words, now, before).filter(F.col("n") >= min_count).write.parquet(found[-1])
+            extensible = spark.read.parquet(found[-1]).filter(F.col("h").bitwiseAND(F.lit(15)) < max_words)
+            grown = now.with_hashes(extensible)
+            if np.array_equal(grown.words, now.words):
+                break
+            now, before = grown, now
+        chosen = PhraseSet(filter_bits).with_hashes(spark.read.parquet(*found))
+        (named_counts(texts, max_words, chosen).filter((F.col("n") >= min_count) | (F.col("words") == 0))
+         .write.parquet(f"{folder}/frequent"))
     return spark.read.parquet(f"{folder}/frequent")
 
 

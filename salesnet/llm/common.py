@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
+from contextlib import contextmanager
 from typing import Iterator, Sequence
 
 import numpy as np
@@ -36,6 +37,19 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(setting, str(rows))
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Arrow batches of about ``limit`` bytes (one row at least) for the jobs run inside,
+    however long their rows; the session's own limit holds again afterwards."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder, lineage cut (reliable, never local)."""
     ensure_checkpoint_dir(df.sparkSession)

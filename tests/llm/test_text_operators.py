@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -265,6 +266,53 @@ def test_collocations_of_no_rows_and_exact_large_numbers(spark):
     assert r.score == 1000000 * (big - 1) ** 2 // (big * (big + 1))
 
 
+def test_collocations_hold_arrays_of_a_piece_at_a_time():
+    """The arrays of a task follow the piece of text at hand, not its batch."""
+    rng = np.random.default_rng(1)
+    spelled = np.array([f"word{i}" for i in range(60_000)])
+    texts = [" ".join(rng.choice(spelled, 20_000)) for _ in range(120)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de"] * 60, "text": texts})
+    words = 0
+    tracemalloc.start()
+    try:
+        for grams in collocations._grams(iter([batch])):
+            words += int(grams.times.sum())
+            for found in grams.admitted(3, None, None):
+                np.unique(found, return_counts=True)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert batch.nbytes > 3 * collocations.SPLIT_BYTES and words == 120 * 20_000
+    assert peak < 120e6
+
+
+def test_collocations_read_batches_of_bounded_bytes(spark, monkeypatch):
+    """Long texts reach a task few at a time, and the session's own limit holds afterwards."""
+    grams, setting = collocations._grams, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def measured(batches):
+        def small():
+            for batch in batches:
+                assert batch.nbytes < 5 << 20, batch.nbytes
+                yield batch
+        return grams(small())
+
+    monkeypatch.setattr(collocations, "_grams", measured)
+    limit = spark.conf.get(setting)
+    rows = spark.range(40).selectExpr("'en' lang", "repeat(concat('w', id, ' a b. '), 40000) text").coalesce(1)
+    got = {(r.phrase, r.n) for r in collocations.frequent_phrases(rows).filter("words = 3").collect()}
+    assert got == {(f"w{i} a b", 40000) for i in range(40)}
+    assert spark.conf.get(setting) == limit
+
+
+def test_word_hashes_tell_words_and_languages_apart():
+    words = ["a", "b", "ab", "ba", "aab", "aba", "a" * 70, "a" * 71, "a" * 69 + "b", "b" + "a" * 69, "é", "漢字", "字漢", "\x00", "\x00\x00"]
+    grams = collocations.Grams(pa.array(["en", "de", ""]), pa.array([" ".join(words)] * 3))
+    assert len(grams.hashes) == len(set(grams.hashes.tolist())) == 3 * len(words)
+    again = collocations.Grams(pa.array([None, "de", "xx"]).slice(1), pa.array(["", "x q " + " ".join(words), "q"]).slice(1))
+    assert set(grams.hashes[grams.code[15:30]].tolist()) < set(again.hashes.tolist())
+
+
 def test_words_keep_to_their_texts_and_slices():
     texts = pa.array(["zz", "a b", "", "c", "d.e\nf", " g ", None, "HÉ"])[1:]
     words, row, together = collocations.words_in_pieces(texts.fill_null(""))
