@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from bisect import bisect_left, insort
@@ -10,10 +9,12 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesnet.llm.common import checkpointed, out_batch, pieces, rank_in_group, text_of
+from salesnet.llm.token_alignment import _byte_alphabet
 
 CAPACITY = 4096
 SEPARATOR_ID = 1
@@ -23,10 +24,11 @@ _ENTRY_BYTES = 170      # of a cached string beside its characters and ids
 _TOKENIZERS: dict = {}
 
 
-# Text of these characters only is cut here; the rest keeps to the tokenizer's own cut.
-_PLAIN = re.compile(r"[\t-\r -~\u00a1-\u012f\u0131-\u024f\u2010-\u2027]*")
-_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-_SPACE = re.compile(r"[ \t-\r]+")
+# Text with a special token or with any other letter than these keeps to the tokenizer's own cut.
+_OWN_CUT = r"<\||[^\t-\r -~\x{a1}-\x{12f}\x{131}-\x{24f}\x{2010}-\x{2027}]"
+# In lower-cased text of these letters, the tokenizer's pieces beside runs of letters.
+_BESIDE_LETTERS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\t-\r \p{L}\p{N}]+"
+_SYMBOLS = {byte: symbol for symbol, byte in _byte_alphabet().items()}
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -65,13 +67,36 @@ class WordCache:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _piece(self, piece: str) -> list[int]:
-        # printable ASCII bytes are their own byte-level symbols: the model alone gives the ids
-        return [t.id for t in self.model.tokenize(piece)] if piece.isascii() else self._word(piece)
+        # a piece as the tokenizer cuts it: the model alone gives the ids of its byte-level
+        # symbols (printable ASCII bytes are their own)
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_SYMBOLS)
+        return [t.id for t in self.model.tokenize(piece)]
 
     def encode(self, text: str) -> bytes:
-        if "<|" in text or not _PLAIN.fullmatch(text):  # a special token, or letters that need normalising
-            return b"".join(map(self.words.__getitem__, filter(None, _SPACE.split(text))))
-        return b"".join(map(self.pieces.__getitem__, _CUT.findall(text.lower())))
+        return self.encode_all(pa.array([text]))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Packed ids of each text (none NULL); a string is looked up once for all of them."""
+        texts = texts.cast(pa.large_string())
+        own = pc.match_substring_regex(texts, _OWN_CUT)
+        cut = pc.replace_substring_regex(pc.utf8_lower(texts.filter(pc.invert(own))), _BESIDE_LETTERS, r" \0 ")
+        at_own = own.to_numpy(zero_copy_only=False)
+        ids = np.empty(len(texts), dtype=object)
+        for rows, spaced, cache in ((~at_own, cut, self.pieces), (at_own, texts.filter(own), self.words)):
+            ids[rows] = _joined(spaced, cache)
+        return ids.tolist()
+
+
+def _joined(texts: pa.Array, cache: IdCache) -> list[bytes]:
+    """Per text, the ids of its strings between white space in a row."""
+    lists = pc.ascii_split_whitespace(texts)
+    coded = lists.flatten().dictionary_encode()
+    known = pa.array(map(cache.__getitem__, coded.dictionary.to_pylist()), pa.large_binary())
+    joined = known.take(coded.indices)
+    _, offsets, data = joined.buffers()
+    ends = np.frombuffer(offsets, "<i8")[lists.offsets.to_numpy()].tolist()
+    return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 def word_cache(path: str) -> WordCache:
@@ -86,7 +111,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Per document its ids and the separator, cut into pieces of ``capacity`` ids (the
     last may be shorter): doc_id, piece, start, length, ids_crc32.  Arrow batches in,
-    Arrow batches out; ids are held for one document at a time."""
+    Arrow batches out; ids are held for about 4 MB of texts at a time (one text whole)."""
     end = np.array([SEPARATOR_ID], dtype="<u4").tobytes()
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                         ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -96,8 +121,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
         cache.forget()  # a worker that lives on holds one task's strings, no more
         for batch in pieces(batches, "text"):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), text_of(batch).to_pylist()):
-                ids = cache.encode(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), cache.encode_all(text_of(batch))):
+                ids += end
                 for i, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesnet.llm import ngram_trie, packing, queries, rp_forest, simhash, source_mix
 import numpy as np
+import pyarrow as pa
 
 COLS = "doc_id long, text string, source string, _key string, f long, c int"
 
@@ -81,3 +82,22 @@ def test_token_cache_is_bounded_and_forgotten(monkeypatch):
     assert len(cache.pieces) < 20
     cache.forget()
     assert not cache.pieces and not cache.words and ids == [cache.encode(t) for t in texts]
+
+
+def test_texts_of_a_batch_encode_each_different_piece_once(monkeypatch):
+    from tokenizers import Tokenizer
+    coded, whole = [], []
+    piece, word = packing.WordCache._piece, packing.WordCache._word
+    monkeypatch.setattr(packing, "CACHE_BYTES", 0)  # nothing is kept from one batch to the next
+    monkeypatch.setattr(packing.WordCache, "_piece", lambda self, p: coded.append(p) or piece(self, p))
+    monkeypatch.setattr(packing.WordCache, "_word", lambda self, w: whole.append(w) or word(self, w))
+    own, cache = Tokenizer.from_file(queries.tokenizer_path()), packing.WordCache(queries.tokenizer_path())
+    packed = lambda text: np.array(own.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    text = "Été, été; don't été!! 12 ’² don't"
+    assert cache.encode(text) == packed(text)
+    assert whole == [] and len(coded) == len(set(coded))  # letters beyond ASCII take the short way too
+    assert set(filter(None, coded)) == {"été", ",", ";", "don", "'t", "!!", "1", "2", "’", "²"}
+    texts = [text, "", " \t\n", "<|endoftext|> don't <|endoftext|>", "été", "漢字 漢字", text]
+    coded.clear()
+    assert cache.encode_all(pa.array(texts)) == [packed(t) for t in texts]
+    assert len(coded) == len(set(coded)) and len(whole) == len(set(whole))
