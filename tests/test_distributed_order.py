@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from salesnet.operators import blocked_corr, cut_points, item_vectors, pairwise_corr, rank_by_value, with_bucket
+from salesnet.params import Period
 from salesnet.plans import jobs, tables
 from salesnet.plans.registry import all_queries, star_for
 from test_plans import plan_of
@@ -83,6 +84,54 @@ def test_blocked_pairs_need_exact_sums_of_large_values(spark):
     assert blocked_corr(vectors, "item", "grp", sizes, 4, -0.1).first().correlation == num / den
 
 
+@pytest.mark.parametrize("block,overlap", [(1, 0), (4, 0), (4, 5), (1000, 0)])
+def test_blocked_pairs_of_very_large_values_meet_all_items_once(spark, block, overlap):
+    rng = random.Random(7)
+    scale = {i: rng.choice([9, 10 ** 5, 10 ** 9, 10 ** 15]) for i in range(24)}
+    sold = {(g, i): {m: rng.randrange(scale[i]) for m in range(6) if rng.random() < 0.8} for g in "gh" for i in scale}
+    rows = [(g, i, m, u) for (g, i), at in sold.items() for m, u in at.items()]
+    vectors = item_vectors(spark.createDataFrame(rows, "grp string, item int, month int, units long"), ["grp", "item"], "month",
+                           "units", list(range(6)))
+    sizes = vectors.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    want = {}
+    for g in "gh":
+        for i in scale:
+            for j in range(i + 1, len(scale)):
+                at = sorted(sold[g, i].keys() & sold[g, j].keys())
+                x, y = [sold[g, i][m] for m in at], [sold[g, j][m] for m in at]
+                xx, yy, xy = (len(at) * sum(p * q for p, q in zip(v, w)) - sum(v) * sum(w) for v, w in ((x, x), (y, y), (x, y)))
+                if xx and yy and len(at) >= overlap and xy / (xx * yy) ** 0.5 < -0.2:
+                    want[g, i, j] = xy / (xx * yy) ** 0.5
+    got = {tuple(r)[:3]: r.correlation for r in blocked_corr(vectors, "item", "grp", sizes, 6, -0.2, min_overlap=overlap, block=block)
+           .collect()}
+    found = blocked_corr(vectors, "item", "grp", sizes, 6, -0.2, min_overlap=overlap, block=block).count()
+    assert len(want) > 50 and got.keys() == want.keys() and found == len(want)
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+@pytest.mark.parametrize("end,overlap", [("1997-01-01", 0), ("1997-11-01", 0), ("1997-11-01", 3)])
+def test_product_pairs_are_compared_in_compiled_code(spark, end, overlap):
+    # HotSpot compiles no method of 8000 bytes or more: a pair then takes 40 times as long
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        pairs = jobs.product_substitution(star_for(spark, SF), Period.of("1996-01-01", end), min_overlap=overlap)
+        debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+        stages = debug.codegenStringSeq(pairs._jdf.queryExecution().executedPlan())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = []
+    for i in range(stages.size()):
+        plan = stages.apply(i)._1().strip().split("\n")
+        own = [line for line in plan if plan[0].split(" ")[0] + " " in line]
+        if any("SortMergeJoin" in line and "_low" in line for line in own):
+            sizes.append(stages.apply(i)._3().maxMethodCodeSize())
+            assert any("Filter" in line and "correlation" in line for line in own)
+    assert len(sizes) == 1 and 1000 < sizes[0] < 8000, sizes
+
+
 def test_product_pairs_make_no_row_per_month(spark):
     star = star_for(spark, SF)
     plan = plan_of(jobs.product_substitution(star))
